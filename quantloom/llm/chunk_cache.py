@@ -1,0 +1,62 @@
+"""Whole texts encoded through a bounded cache of space-separated chunks.
+
+For the tokenizers used here a text may be cut before a space that a non-space character follows: the pieces' encodings,
+joined, are the text's encoding (the callers say why). Natural text repeats its chunks, so most are looked up.
+"""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+
+#: Where byte-level BPE with the usual split pattern may be cut, and texts where that isn't every space.
+BYTE_LEVEL = (re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)"))
+#: Chunks in each of two generations per Python worker, some 200 bytes each: a full generation becomes the old one, and what
+#: is asked for again moves to the new one. Speed only, never results.
+CACHE_CHUNKS = 250_000
+
+
+class ChunkEncoder:
+    """``encode_batch``: list of str to list of id lists. ``whole(text)`` true: the text must be encoded in one piece.
+
+    ``cuts``: the pattern of the spaces before which a text may be cut, and one that finds texts with other spaces too.
+    """
+
+    def __init__(self, encode_batch, dtype, whole=lambda text: False, cuts=BYTE_LEVEL):
+        self.encode_batch, self.dtype, self.whole = encode_batch, np.dtype(dtype), whole
+        self.cut, self.irregular = cuts[0].split, cuts[1].search
+        self.inner: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x, self.dtype).tobytes() for x in self.encode_batch(texts)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. The first chunk of a text has no leading space and is encoded on its own."""
+        if len(self.inner) > CACHE_CHUNKS:
+            self.old, self.inner = self.inner, {}
+        inner, old = self.inner, self.old
+        get, heads, rests, missing = inner.get, [], [], set()
+        for text in texts:
+            if self.whole(text):
+                head, *parts = [text]
+            elif self.irregular(text):
+                head, *parts = self.cut(text)
+            else:
+                head, *parts = text.split(" ")
+            found = list(map(get, parts))
+            if None in found:
+                missing.update(p for p, f in zip(parts, found, strict=True) if f is None)
+            heads.append(head)
+            rests.append((parts, found))
+        inner.update((p, old[p]) for p in missing & old.keys())
+        new = [p for p in missing if p not in inner]
+        inner.update(zip(new, self._ids([" " + p for p in new]), strict=True))
+        first = self._ids(heads)
+        out = []
+        for head, (parts, found) in zip(first, rests, strict=True):
+            if None in found:
+                found = map(inner.__getitem__, parts)
+            out.append(np.frombuffer(head + b"".join(found), self.dtype))
+        return out

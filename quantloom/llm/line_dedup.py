@@ -67,3 +67,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce("removed", F.array()).cast("array<int>").alias("__removed"),
         F.when(F.col("removed").isNull(), F.col(f"`{text_col}`")).otherwise(left).alias("__kept"),
     )
+
+
+def replace_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with the text left by dedup_lines, and its length in ``chars_col`` if there is such a column; other columns unchanged."""
+    done = dedup_lines(docs, id_col, text_col)
+    changed = F.size("__removed") > 0
+    now = {text_col: F.col("__kept"), chars_col: F.when(changed, F.length("__kept").cast("long")).otherwise(F.col(f"`{chars_col}`")) if chars_col in docs.columns else None}
+    return done.select(*[(now.get(c) if now.get(c) is not None else F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -2,6 +2,22 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM later)),
+r AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.p) AS t
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w WHERE len(w) > 0) k
+  LEFT JOIN gone ON k.doc_id = gone.doc_id AND k.p = gone.p WHERE gone.p IS NULL GROUP BY k.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN r ON w.doc_id = r.doc_id LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
 OP5 = r"""
 WITH bw AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -101,6 +117,7 @@ FROM t LEFT JOIN cov USING (doc_id)
 """
 
 ORACLES = {
+    "op1_substring_dedup": OP1,
     "op5_decontamination": OP5,
     "op6_chat_formatting": OP6,
     "op7_quality_rules": OP7,

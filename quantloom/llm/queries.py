@@ -5,11 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_formatting, decontamination, line_dedup, quality_rules, url_filters
-from .common import read
+from . import (
+    chat_formatting,
+    decontamination,
+    line_dedup,
+    quality_rules,
+    sentencepiece_codec,
+    simhash_dedup,
+    substring_dedup,
+    token_files,
+    url_filters,
+)
+from .common import read, work_path
 from .oracles import ORACLES
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_windows(read(spark, sf_dir, "documents"), with_text=False)
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.simhash_components(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "tokens")
+    token_files.write_token_files(read(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_token_files(spark, path, with_ids=False)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated_words(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     items = F.sort_array(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.transform(h["items"], lambda i: i.cast("string"))))))
@@ -56,6 +88,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(read(spark, sf_dir, "pages"))
 
@@ -73,9 +109,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op3_simhash_dedup": op3_simhash_dedup,
+        "op4_token_files": op4_token_files,
         "op5_decontamination": op5_decontamination,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_quality_rules": op7_quality_rules,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_url_filters": op9_url_filters,
         "op10_line_dedup": op10_line_dedup,
     }
