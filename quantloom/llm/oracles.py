@@ -18,6 +18,24 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS B
 FROM w LEFT JOIN r ON w.doc_id = r.doc_id LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
 
+OP2 = r"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, h[2 * i + 1 : 2 * i + 200] AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM t WHERE length(h) >= 200)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+isl AS (
+  SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM later)),
+span AS (SELECT doc_id, g, min(i) AS a, max(i) + 100 AS b FROM isl GROUP BY doc_id, g),
+gap AS (
+  SELECT s.doc_id, a, b, h[2 * coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) + 1 : 2 * a] AS piece
+  FROM span s JOIN t ON s.doc_id = t.doc_id),
+cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(piece, '' ORDER BY a) AS kept FROM gap GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || h[2 * coalesce(last, 0) + 1 :])) AS kept_sha256
+FROM t LEFT JOIN cut ON t.doc_id = cut.doc_id
+"""
+
 OP5 = r"""
 WITH bw AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -118,6 +136,7 @@ FROM t LEFT JOIN cov USING (doc_id)
 
 ORACLES = {
     "op1_substring_dedup": OP1,
+    "op2_suffix_dedup": OP2,
     "op5_decontamination": OP5,
     "op6_chat_formatting": OP6,
     "op7_quality_rules": OP7,

@@ -13,6 +13,7 @@ from . import (
     sentencepiece_codec,
     simhash_dedup,
     substring_dedup,
+    suffix_dedup,
     token_files,
     url_filters,
 )
@@ -31,6 +32,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_windows(read(spark, sf_dir, "documents"), with_text=False)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(read(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.simhash_components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
@@ -110,6 +115,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_token_files": op4_token_files,
         "op5_decontamination": op5_decontamination,
