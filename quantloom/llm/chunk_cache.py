@@ -1,62 +1,88 @@
-"""Whole texts encoded through a bounded cache of space-separated chunks.
+"""Whole texts encoded through a bounded table of space-separated chunks.
 
 For the tokenizers used here a text may be cut before a space that a non-space character follows: the pieces' encodings,
-joined, are the text's encoding (the callers say why). Natural text repeats its chunks, so most are looked up.
+joined, are the text's encoding (the callers say why). Natural text repeats its chunks, so most are looked up; splitting,
+lookup and joining are done for millions of chunks at a time.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Where byte-level BPE with the usual split pattern may be cut, and texts where that isn't every space.
-BYTE_LEVEL = (re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)"))
-#: Chunks in each of two generations per Python worker, some 200 bytes each: a full generation becomes the old one, and what
-#: is asked for again moves to the new one. Speed only, never results.
-CACHE_CHUNKS = 250_000
+#: Spaces followed by a space or the end: byte-level BPE with the usual split pattern may not be cut there.
+BYTE_LEVEL = re.compile(r" (?:\s|$)")
+#: Most chunks in the table, some 30 bytes each; beyond, the later half goes (what comes early is frequent). Speed only.
+TABLE_CHUNKS = 1_500_000
+#: Texts that are handled together.
+BATCH_DOCS, BATCH_BYTES = 2048, 8 << 20
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most BATCH_DOCS rows and, unless a row has more, BATCH_BYTES of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = sizes.cumsum()
+    at = 0
+    while at < len(sizes):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, side="right"))
+        to = min(max(to, at + 1), at + BATCH_DOCS)
+        yield batch.slice(at, to - at)
+        at = to
 
 
 class ChunkEncoder:
-    """``encode_batch``: list of str to list of id lists. ``whole(text)`` true: the text must be encoded in one piece.
+    """``encode_batch``: list of str to the bytes of each one's ids as ``dtype``. ``whole(text)`` true: encode it in one piece.
 
-    ``cuts``: the pattern of the spaces before which a text may be cut, and one that finds texts with other spaces too.
+    ``odd``: a pattern that finds texts in which some space is no cut; they are encoded in one piece too.
     """
 
-    def __init__(self, encode_batch, dtype, whole=lambda text: False, cuts=BYTE_LEVEL):
-        self.encode_batch, self.dtype, self.whole = encode_batch, np.dtype(dtype), whole
-        self.cut, self.irregular = cuts[0].split, cuts[1].search
-        self.inner: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    def __init__(self, encode_batch, dtype, whole=lambda text: False, odd: re.Pattern = BYTE_LEVEL):
+        self.encode_batch, self.dtype, self.whole, self.odd = encode_batch, np.dtype(dtype), whole, odd.search
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+
+    def _append(self, encoded: list[bytes]) -> None:
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // self.dtype.itemsize
+        self.ends = np.concatenate([self.ends, (self.ends[-1] if len(self.ends) else 0) + sizes.cumsum()])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(encoded), self.dtype)])
+
+    def _shorten(self, n: int) -> None:
+        self.words, self.ends = self.words.slice(0, n), self.ends[:n]
+        self.ids = self.ids[: self.ends[-1] if n else 0]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x, self.dtype).tobytes() for x in self.encode_batch(texts)]
+    def _regular(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > TABLE_CHUNKS:
+            self._shorten(TABLE_CHUNKS // 2)
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds, flat = lists.offsets.to_numpy(), lists.values
+        at = pc.fill_null(pc.index_in(flat, value_set=self.words), -1).to_numpy().astype(np.int64)
+        at[bounds[:-1]] = -2  # a text's first chunk has no space before it
+        missing = np.flatnonzero(at == -1)
+        if len(missing):
+            asked = flat.take(pa.array(missing))
+            new = pc.unique(asked)
+            at[missing] = pc.index_in(asked, value_set=new).to_numpy().astype(np.int64) + len(self.words)
+            self._append(self.encode_batch([" " + w for w in new.to_pylist()]))
+            self.words = pa.concat_arrays([self.words, new])
+        n = len(self.words)
+        self._append(self.encode_batch(flat.take(pa.array(bounds[:-1])).to_pylist()))
+        at[bounds[:-1]] = n + np.arange(len(texts))
+        starts = np.concatenate([[0], self.ends[:-1]])[at]
+        sizes = self.ends[at] - starts
+        ends = sizes.cumsum()
+        out = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+        edges = np.concatenate([[0], ends])[bounds].tolist()
+        self._shorten(n)
+        return [out[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. The first chunk of a text has no leading space and is encoded on its own."""
-        if len(self.inner) > CACHE_CHUNKS:
-            self.old, self.inner = self.inner, {}
-        inner, old = self.inner, self.old
-        get, heads, rests, missing = inner.get, [], [], set()
-        for text in texts:
-            if self.whole(text):
-                head, *parts = [text]
-            elif self.irregular(text):
-                head, *parts = self.cut(text)
-            else:
-                head, *parts = text.split(" ")
-            found = list(map(get, parts))
-            if None in found:
-                missing.update(p for p, f in zip(parts, found, strict=True) if f is None)
-            heads.append(head)
-            rests.append((parts, found))
-        inner.update((p, old[p]) for p in missing & old.keys())
-        new = [p for p in missing if p not in inner]
-        inner.update(zip(new, self._ids([" " + p for p in new]), strict=True))
-        first = self._ids(heads)
-        out = []
-        for head, (parts, found) in zip(first, rests, strict=True):
-            if None in found:
-                found = map(inner.__getitem__, parts)
-            out.append(np.frombuffer(head + b"".join(found), self.dtype))
-        return out
+        """Ids of each text."""
+        odd = [bool(self.odd(t)) or self.whole(t) for t in texts]
+        direct = iter(self.encode_batch([t for t, o in zip(texts, odd, strict=True) if o]))
+        rest = [t for t, o in zip(texts, odd, strict=True) if not o]
+        regular = iter(self._regular(rest) if rest else [])
+        return [np.frombuffer(next(direct), self.dtype) if o else next(regular) for o in odd]

@@ -21,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkEncoder
+from .chunk_cache import ChunkEncoder, slices
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: piece types
 UNIGRAM, BPE = 1, 2  # fixed values: model types
 #: The space marker starts a piece or stands in a run of its own: then no piece reaches over a space after a non-space.
-_CUTS = (re.compile(r"(?<=[^ ]) "), re.compile(r"^ |  "))
-BATCH_DOCS = 512
+_RUN = re.compile("  ")
 
 
 @dataclass
@@ -128,16 +127,16 @@ class Codec:
 
             self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
         over = any(kind in (NORMAL, USER) and re.search(rf"[^{MARK}]{MARK}", p) for p, _, kind in model.pieces)
-        self.encoder = ChunkEncoder(self._encode, "<u4", whole=lambda _: over, cuts=_CUTS)
+        self.encoder = ChunkEncoder(self._encode, "<u4", whole=lambda _: over, odd=_RUN)
         self.parts = [self._bytes(p, kind) for p, _, kind in model.pieces]
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
+    def _encode(self, chunks: list[str]) -> list[bytes]:
         out = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         if self.peer is not None and self.model.add_dummy_prefix:
             # the library puts the first space before each of them itself; a single space can't be asked for
             own = self.peer.encode([c[1:] for c in chunks], num_threads=1)
             self.bad.update(c for c, a, b in zip(chunks, out, own, strict=True) if a != b and c.strip(" ") and c[0] == " ")
-        return out
+        return [np.array(x, "<u4").tobytes() for x in out]
 
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
@@ -158,8 +157,7 @@ class Codec:
         ids = self.encoder.encode(ready)
         if not self.bad:
             return ids, [True] * len(texts)
-        chunks = ([h, *(" " + p for p in rest)] for h, *rest in map(_CUTS[0].split, ready))
-        return ids, [self.bad.isdisjoint(c) for c in chunks]
+        return ids, [t not in self.bad and self.bad.isdisjoint(" " + c for c in t.split(" ")[1:]) for t in ready]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.parts.__getitem__, ids.tolist()))
@@ -191,8 +189,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches):
         codec = load_codec(sent.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_DOCS):
-                some = batch.slice(at, BATCH_DOCS)
+            for some in slices(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 ids, same = codec.encode(texts)
                 back = [codec.decode(x) for x in ids]

@@ -12,6 +12,7 @@ little-endian (int64, int64, uint32), the payload is a bit string, first bit hig
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,14 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkEncoder
+from .chunk_cache import ChunkEncoder, slices
 from .common import work_path
 
 MAX_BITS = 20
 CHECKPOINT = 256
 BLOCK_TOKENS = 1 << 20
-#: Texts handled together, a few MB.
-BATCH_DOCS = 512
 
 
 # ---- the code
@@ -115,6 +114,63 @@ def unpack(payload: bytes, checkpoints: bytes, n: int, table) -> np.ndarray:
 
 # ---- the jobs
 
+class ByteLevelBatch:
+    """Encodes many short chunks, most of them a space and a word, perhaps with a full stop, comma or new line behind.
+
+    Such chunks fall into words, stops and line breaks, which the pre-tokenizer always keeps apart. New words are encoded
+    many at a time as one text and told apart by the mark of a leading space (or, at a line's start, by the line breaks).
+    """
+
+    SHAPE = re.compile(r" [^\W_]+[.,]?(?:\n[^\W_]+[.,]?)*").fullmatch
+    PARTS = re.compile(r"[^\W_]+|[.,\n]").findall
+
+    def __init__(self, tokenizer, dtype):
+        self.tokenizer, self.dtype = tokenizer, dtype
+        self.marks = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab().items():
+            self.marks[i] = token.startswith("\u0120")  # how the byte-level alphabet writes a space
+        self.signs = dict(zip(".,\n", self._plain([".", ",", "\n"]), strict=True))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, words: list[str], lead: str) -> list[bytes]:
+        """Each word's ids behind ``lead`` (a space, which is part of them, or a line break, which isn't)."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            own = lead == "\n"
+            starts = np.flatnonzero(ids == np.frombuffer(self.signs["\n"], self.dtype)[0] if own else self.marks[ids])
+            if len(starts) != len(some):  # not expected; one by one then
+                out += self._plain([w if own else lead + w for w in some])
+                continue
+            data, size = ids.tobytes(), self.dtype.itemsize
+            ends = [*starts[1:].tolist(), len(ids)]
+            out += [data[(a + own) * size : b * size] for a, b in zip(starts.tolist(), ends, strict=True)]
+        return out
+
+    def __call__(self, chunks: list[str]) -> list[bytes]:
+        known, signs = {}, self.signs
+        # a word, a word with a sign behind it, several words over line breaks, or anything else
+        ends = [c[-1:] if c[-1:] in signs else "" for c in chunks]
+        stems = [c[: len(c) - len(e)] for c, e in zip(chunks, ends, strict=True)]
+        plain = [s[:1] == " " and s[1:].isalnum() and e != "\n" for s, e in zip(stems, ends, strict=True)]
+        rest = [c for c, p in zip(chunks, plain, strict=True) if not p]
+        parts = [self.PARTS(c) if self.SHAPE(c) else None for c in rest]
+        first = {s for s, p in zip(stems, plain, strict=True) if p}
+        first.update(" " + p[0] for p in parts if p)
+        later = {"\n" + w for p in parts if p for w in p[1:] if w not in signs}
+        for lead, words in ((" ", first), ("\n", later)):
+            new = list(words)
+            known.update(zip(new, self._joined([w[1:] for w in new], lead), strict=True))
+        odd = iter(self._plain([c for c, p in zip(rest, parts, strict=True) if not p]))
+        behind = lambda w: signs.get(w) or known["\n" + w]
+        other = iter([known[" " + p[0]] + b"".join(map(behind, p[1:])) if p else next(odd) for p in parts])
+        closing = signs | {"": b""}
+        return [known[s] + closing[e] if p else next(other) for s, e, p in zip(stems, ends, plain, strict=True)]
+
+
 @lru_cache(maxsize=2)  # a Python worker keeps it, and its cache, from task to task
 def load_tokenizer(path: str, end_id: int) -> tuple[ChunkEncoder, np.dtype]:
     """A byte-level BPE tokenizer: its pre-tokenizer splits before a space that a non-space follows, and encodes each piece alone."""
@@ -123,11 +179,7 @@ def load_tokenizer(path: str, end_id: int) -> tuple[ChunkEncoder, np.dtype]:
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     dtype = np.dtype("<u2") if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
-
-    def encode(texts):
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return ChunkEncoder(encode, dtype, whole=lambda t: any(s in t for s in special)), dtype
+    return ChunkEncoder(ByteLevelBatch(tokenizer, dtype), dtype, whole=lambda t: any(s in t for s in special)), dtype
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -150,8 +202,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_DOCS):
-                some = batch.slice(at, BATCH_DOCS)
+            for some in slices(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for name, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
                     held += [ids.tobytes(), end.tobytes()]
