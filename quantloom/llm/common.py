@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,6 +51,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark notice shuffles that nothing refers to any more, so that their files go before the next step writes its own."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """The rows, written to a table in the shared folder and read from it: cuts lineage, and earlier shuffle files can go."""
+    path = work_path(df.sparkSession, what)
+    df.write.parquet(path)
+    release(df.sparkSession)
+    return df.sparkSession.read.parquet(path)
+
+
 def fits_broadcast(df: DataFrame, most_rows: int) -> bool:
     """Whether there are at most so many rows; stops counting beyond."""
     return df.limit(most_rows + 1).count() <= most_rows

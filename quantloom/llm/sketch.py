@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 DEPTH = 2
 #: Most cells in a row of the sketch; two rows of bits are then 128 MB for each level.
 MAX_WIDTH = 1 << 29
@@ -106,6 +108,9 @@ def merged_sketch(df: DataFrame, hashes: Callable[[Iterator[pa.RecordBatch]], It
         for whole, data in zip(out, row.bits, strict=True):
             some = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.uint8)
             whole[row.part * (RANGE_CELLS // 8) : row.part * (RANGE_CELLS // 8) + len(some)] = some
+    spark = df.sparkSession
+    del merged
+    release(spark)
     return out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import LAST_ID
+from .common import LAST_ID, stored
 
 WINDOW = 13
 #: Bytes of text that a block of the second pass holds.
@@ -153,7 +153,7 @@ def dedup_windows(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text
     id don't remove each other's windows; repeated rows each get the same result. A null id is larger than every other.
     An empty table gives no rows. Other columns aren't read.
     """
-    found = repeated_windows(docs, n, id_col, text_col)
+    found = stored(repeated_windows(docs, n, id_col, text_col), "windows")
     rows = keyed(docs, id_col, text_col)
     joined = rows.join(found, ["did", "k"], "left").select("did", "text", "starts")
     names = ["did", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
-from .common import LAST_ID
+from .common import LAST_ID, stored
 from .substring_dedup import blocks, keyed, window_hashes
 
 LENGTH = 100
@@ -331,7 +331,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     """
     if length % 4 or length <= KMER:
         raise ValueError("the length must be a multiple of 4 over 32")
-    found = removed_windows(docs, length, id_col, text_col, hot)
+    found = stored(removed_windows(docs, length, id_col, text_col, hot), "runs")
     joined = keyed(docs, id_col, text_col).join(found, ["did", "k"], "left").select("did", "text", "runs")
     names = ["did", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
