@@ -18,9 +18,9 @@ TRADES = (
 OPTION_TRADES = "ticker string, conditions string, correction byte, exchange short, participant_timestamp long, price double, sip_timestamp long, size int"
 
 
-def instant(ns: Column) -> Column:
-    """Timestamp of a nanosecond epoch, cut to microseconds."""
-    return F.timestamp_micros(F.expr("1") * F.floor(ns / F.lit(1000)).cast("long"))
+def instant(name: str) -> Column:
+    """Timestamp of a column of nanosecond epochs, cut to microseconds (whole-number division: doubles lose digits here)."""
+    return F.expr(f"timestamp_micros(`{name}` div 1000)")
 
 
 def _csv(spark: SparkSession, path, schema: str) -> DataFrame:
@@ -40,7 +40,7 @@ def read_bars_csv(spark: SparkSession, path, tz: str = NEW_YORK, on_invalid: str
     """
     volume = F.col("volume") if tz == "UTC" else F.col("volume").cast("long")
     df = _csv(spark, path, BARS).filter(F.col("ticker").isNotNull()).select(
-        "ticker", *[F.col(c).cast("float").alias(c) for c in ("open", "high", "low", "close")], volume.alias("volume"), "transactions", instant(F.col("window_start")).alias("window_start")
+        "ticker", *[F.col(c).cast("float").alias(c) for c in ("open", "high", "low", "close")], volume.alias("volume"), "transactions", instant("window_start").alias("window_start")
     )
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.convert_timezone(None, F.lit("UTC"), F.col("window_start").cast("timestamp_ntz")))
     return df.withColumn("date", F.to_date(local)).sortWithinPartitions("ticker", "window_start")
@@ -53,7 +53,7 @@ def read_option_bars_csv(spark: SparkSession, path, on_invalid: str = "error") -
 
 
 def _ticks(df: DataFrame) -> DataFrame:
-    stamped = df.withColumns({"sip_ns": F.col("sip_timestamp"), "sip_timestamp": instant(F.col("sip_timestamp"))})
+    stamped = df.withColumns({"sip_ns": F.col("sip_timestamp"), "sip_timestamp": instant("sip_timestamp")})
     return stamped.withColumn("date", F.to_date(F.convert_timezone(None, F.lit(NEW_YORK), F.col("sip_timestamp").cast("timestamp_ntz"))))
 
 
@@ -64,7 +64,7 @@ def read_stock_quotes_csv(spark: SparkSession, path) -> DataFrame:
 
 def read_stock_trades_csv(spark: SparkSession, path) -> DataFrame:
     """Stock trades; the participant's stamp becomes an instant too, the reporting facility's stays a number."""
-    df = _ticks(_csv(spark, path, TRADES)).withColumn("participant_timestamp", instant(F.col("participant_timestamp")))
+    df = _ticks(_csv(spark, path, TRADES)).withColumn("participant_timestamp", instant("participant_timestamp"))
     return df.sortWithinPartitions("ticker", "sip_ns", "sequence_number")
 
 
@@ -80,10 +80,10 @@ def read_option_trades_csv(spark: SparkSession, path, on_invalid: str = "error")
     return df.repartition("date", "underlying").sortWithinPartitions("date", "underlying", "expiry", "type", "strike", "sip_ns")
 
 
-def read_press_json(spark: SparkSession, path) -> DataFrame:
-    """Press releases, one JSON object per file; unreadable files are skipped. Stamps become New York wall clock."""
+def read_press_json(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+    """Press releases, one JSON object per file (or per line); unreadable ones are skipped. Stamps become New York wall clock."""
     schema = "ticker string, timestamp string, title string, text string, _bad string"
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
+    raw = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
     at = F.try_to_timestamp("timestamp")
     return raw.filter(F.col("_bad").isNull()).drop("_bad").withColumn("timestamp", F.convert_timezone(None, F.lit(NEW_YORK), at.cast("timestamp_ntz"))).sortWithinPartitions("ticker", "timestamp")
 
