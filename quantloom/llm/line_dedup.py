@@ -54,18 +54,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A null or empty text is one empty line and has no window. Among rows with the same id and text only the occurrence
     inside a document can be later; both rows get the same result. A null id is ordered after every other.
     """
-    cut = removed_lines(docs, id_col, text_col).withColumnRenamed("__key", "__cut_key")
+    cut = removed_lines(docs, id_col, text_col).select(F.col("__key").alias("__cut_key"), F.col("removed").alias("__gone"))
     joined = docs.join(cut, row_key(docs[id_col], docs[text_col]) == cut["__cut_key"], "left").drop("__cut_key")
     lines = _lines(F.col(f"`{text_col}`"))
     left = let(
-        F.struct(lines.alias("x"), F.coalesce("removed", F.array()).alias("r")),
+        F.struct(lines.alias("x"), F.coalesce("__gone", F.array()).alias("r")),
         lambda s: F.array_join(F.filter(s["x"], lambda _, i: ~F.array_contains(s["r"], i)), "\n"),
     )
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.size(lines).cast("long").alias("__n_lines"),
-        F.coalesce("removed", F.array()).cast("array<int>").alias("__removed"),
-        F.when(F.col("removed").isNull(), F.col(f"`{text_col}`")).otherwise(left).alias("__kept"),
+        F.coalesce("__gone", F.array()).cast("array<int>").alias("__removed"),
+        F.when(F.col("__gone").isNull(), F.col(f"`{text_col}`")).otherwise(left).alias("__kept"),
     )
 
 
