@@ -27,6 +27,7 @@ def new_dates(df: DataFrame, done: DataFrame, date_col: str = "date") -> DataFra
 def stream_trade_bars(trades: DataFrame, interval: str = "10 seconds", late: str = "1 minute") -> DataFrame:
     """Last price, last size and volume per ticker and tumbling window of a stream of trades; later rows than ``late`` are left out."""
     order = F.struct("ts", "seq")
+    trades = trades.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need instants
     bars = trades.withWatermark("ts", late).groupBy("ticker", F.window("ts", interval).alias("w"))
     return bars.agg(F.max_by("price", order).alias("last"), F.max_by("size", order).alias("last_size"), F.sum("size").alias("volume")).select(
         "ticker", F.col("w.start").alias("window_start"), "last", "last_size", "volume"
