@@ -231,8 +231,7 @@ def removed_windows(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
             for found, *_ in text_pieces([(t or "").encode() for t in texts], length):
                 yield found
 
-    sketched = rows.mapInArrow(_identity, rows.schema)  # keeps the columns as blocks() expects them
-    twice, often = sketch.merged_sketch(sketched, anchors, width, (2, hot))
+    twice, often = sketch.merged_sketch(rows, anchors, width, (2, hot))
     sent = docs.sparkSession.sparkContext.broadcast((twice, often))  # bounded by the sketch's MAX_WIDTH
 
     def candidates(batches):
@@ -275,10 +274,6 @@ def removed_windows(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     return runs.groupBy("did", "k").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
 
 
-def _identity(batches):
-    yield from batches
-
-
 def _reduce(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows in order of key and occurrence: gives the runs of windows that lie earlier."""
 

@@ -65,12 +65,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def index_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def index_rules(urls: DataFrame, rules: DataFrame, place=F.broadcast) -> DataFrame:
     """``rules`` with the column ``token``: the rarest of its tokens among ``urls`` (ties: the first in order); null without tokens."""
     wanted = rules.select("priority", F.explode("tokens").alias("token"))
     seen = (
         urls.select(F.explode("__tokens").alias("token"))
-        .join(F.broadcast(wanted.select("token").distinct()), "token", "left_semi")
+        .join(place(wanted.select("token").distinct()), "token", "left_semi")
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
@@ -99,8 +99,8 @@ def filter_urls(pages: DataFrame, rules=HOST_RULES + SPAM_RULES, id_col: str = "
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("__id"), host.alias("__host"), path.alias("__path"))
     urls = urls.withColumn("__tokens", F.array_distinct(F.split(ascii_lower(F.concat("__host", "__path")), TOKEN_SPLIT)))
-    indexed = index_rules(urls, table)
     bounded = F.broadcast if len(rules) <= BROADCAST_RULES else (lambda df: df)
+    indexed = index_rules(urls, table, bounded)
     # every url also has the token null-stand-in "" so that rules without tokens are candidates everywhere
     asked = urls.withColumn("__row", F.monotonically_increasing_id()).select(
         "__row", "__id", "__host", "__path", F.explode(F.array_union("__tokens", F.array(F.lit("")))).alias("token")
