@@ -114,12 +114,25 @@ def merged_sketch(df: DataFrame, hashes: Callable[[Iterator[pa.RecordBatch]], It
     return out
 
 
-def reached(bits: np.ndarray, hashes: np.ndarray, width: int) -> np.ndarray:
-    """Whether each hash is estimated to reach the level of ``bits``."""
+def sparse(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Packed bits that are nearly all zero as (places of bytes, bytes)."""
+    places = np.flatnonzero(bits)
+    return places, bits[places]
+
+
+def reached(bits, hashes: np.ndarray, width: int) -> np.ndarray:
+    """Whether each hash is estimated to reach the level of ``bits``, packed or sparse."""
     yes = np.ones(len(hashes), bool)
     for row in range(DEPTH):
         at = cells(hashes, row, width) + np.uint64(row * width)
-        yes &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        place, bit = (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+        if isinstance(bits, tuple):
+            near = np.searchsorted(bits[0], place)
+            near[near == len(bits[0])] = 0
+            byte = np.where(bits[0][near] == place, bits[1][near], 0).astype(np.uint8) if len(bits[0]) else np.zeros(len(place), np.uint8)
+        else:
+            byte = bits[place]
+        yes &= (byte >> bit) & 1 > 0
     return yes
 
 

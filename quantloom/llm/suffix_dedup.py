@@ -2,8 +2,8 @@
 
 Every window of ``length`` bytes belongs to the run of windows around one anchor, the smallest hash among its k-mers; equal
 windows have equal anchors, so runs ("pieces", windows + length - 1 bytes) can be dealt out by anchor and any two equal
-windows meet. A count-min sketch of anchors leaves out pieces whose anchor occurs once. Where an anchor has different
-pieces, these are cut into shards, each shard's BWT is built by itself, and the BWTs are merged by iterative interleave
+windows meet. A count-min sketch of sampled k-mers leaves out windows with one that occurs once. Where an anchor has
+different pieces, these are cut into shards, each shard's BWT is built by itself, and the BWTs are merged by iterative interleave
 refinement (Holt and McMillan, 2014): each round stably re-orders the interleave by the next characters in front and
 marks where blocks part, which gives common prefixes; blocks still whole at ``length`` are the repeated intervals. No
 round compares or sorts whole suffixes. Of each interval the earliest window stays and the others are removed.
@@ -26,8 +26,12 @@ from .substring_dedup import blocks, keyed, window_hashes
 
 LENGTH = 100
 KMER = 32
-#: Texts that are hashed together, in bytes; positions in it take 24 bits.
-CHUNK_BYTES = 4 << 20
+#: A sampled k-mer is the smallest among so many.
+SAMPLE = 35
+#: Texts that are hashed together, in bytes, some 60 times as much memory; a longer text is cut into parts. Places take 24 bits.
+CHUNK_BYTES = 1 << 20
+PART_BYTES = 4 << 20
+PLACE = np.uint64(0xFFFFFF)
 SHARD_BYTES = 1 << 16
 #: Piece bytes that one merge holds, unless a single anchor has more.
 MERGE_BYTES = 1 << 19
@@ -37,34 +41,64 @@ HOT_ANCHOR = 60_000
 
 # ---- pieces
 
-def pieces(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH, kmer: int = KMER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, number of windows) of all pieces of texts that lie one after the other in ``data``."""
-    none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none.astype(np.uint64), none, none
-    hashes = window_hashes(data.astype(np.uint64) + np.uint64(1), kmer, 0x9FB21C651E98DF25)
-    least = (hashes & ~np.uint64(0xFFFFFF)) | np.arange(len(hashes), dtype=np.uint64)
-    span, size = length - kmer + 1, 1
-    while 2 * size <= span:
-        least = np.minimum(least[: len(least) - size], least[size:])
+class Pieces:
+    """Anchors and pieces of texts that lie one after the other in ``data``.
+
+    ``sampled``: places of the k-mers that are smallest among ``SAMPLE`` in a row, at ``rows``. What is sampled by a row
+    inside a window is sampled wherever the window occurs, so a window can only repeat if all of these k-mers do. Its
+    anchor, the smallest of all its k-mers, is one of them.
+    """
+
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, length: int, kmer: int = KMER):
+        self.length, self.span, self.sizes, self.data = length, length - kmer + 1, sizes, data
+        if len(data) < length:
+            self.hashes, self.sampled, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return
+        self.hashes = window_hashes(data.astype(np.uint64) + np.uint64(1), kmer, 0x9FB21C651E98DF25)
+        self.placed = (self.hashes & ~PLACE) | np.arange(len(self.hashes), dtype=np.uint64)
+        self.sample = min(SAMPLE, self.span)
+        at = (_least(self.placed, self.sample) & PLACE).astype(np.int64)
+        self.rows = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))  # the first row of each; the last is before the next's
+        self.sampled = at[self.rows]
+
+    def sampled_hashes(self) -> np.ndarray:
+        return self.hashes[self.sampled]
+
+    def cut(self, repeated: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor hash, first window, number of windows) of all pieces; given which sampled k-mers repeat, of the windows that can."""
+        none = np.zeros(0, np.int64)
+        if not len(self.hashes):
+            return none.astype(np.uint64), none, none
+        at = (_least(self.placed, self.span) & PLACE).astype(np.int32)
+        ends = self.sizes.cumsum()
+        long = self.sizes >= self.length
+        starts = (ends - self.sizes)[long]
+        inside = np.zeros(len(self.data) + 1, np.int8)  # +1 where a text's windows begin, -1 behind its last
+        np.add.at(inside, starts, 1)
+        np.add.at(inside, (ends - self.length + 1)[long], -1)
+        inside = inside.cumsum(dtype=np.int8)[: len(at)] > 0
+        if repeated is not None:
+            ahead = np.append(self.rows[1:], len(self.hashes) - self.sample + 1)
+            near = np.zeros(len(at) + 1, np.int32)  # how many k-mers that occur once are sampled inside a window
+            np.add.at(near, np.maximum(self.rows[~repeated] - (self.span - self.sample), 0), 1)
+            np.add.at(near, np.minimum(ahead[~repeated], len(at)), -1)
+            inside &= near.cumsum(dtype=np.int32)[:-1] == 0
+        # a piece begins where the anchor's place or the text changes, or behind a window that can't repeat
+        begin = inside.copy()
+        begin[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
+        begin[starts] = inside[starts]
+        stop = np.cumsum(inside)
+        first = np.flatnonzero(begin)
+        return self.hashes[at[first]], first, np.diff(stop[first] - 1, append=stop[-1])
+
+
+def _least(values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of every n consecutive values."""
+    size = 1
+    while 2 * size <= n:
+        values = np.minimum(values[: len(values) - size], values[size:])
         size *= 2
-    least = np.minimum(least[: len(least) - (span - size)], least[span - size :]) if span > size else least
-    at = (least & np.uint64(0xFFFFFF)).astype(np.int32)
-    ends = sizes.cumsum()
-    inside = np.zeros(len(data) + 1, np.int8)  # +1 where a text's windows begin, -1 behind its last
-    long = sizes >= length
-    np.add.at(inside, (ends - sizes)[long], 1)
-    np.add.at(inside, (ends - length + 1)[long], -1)
-    inside = inside.cumsum(dtype=np.int8)[: len(at)] > 0
-    # a piece begins where the anchor's place or the text changes
-    begin = inside.copy()
-    begin[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
-    begin[(ends - sizes)[long]] = True
-    stop = np.cumsum(inside)
-    first = np.flatnonzero(begin)
-    before = stop[first] - 1
-    count = np.diff(before, append=stop[-1] if len(stop) else 0)
-    return hashes[at[first]], first, count
+    return np.minimum(values[: len(values) - (n - size)], values[n - size :]) if n > size else values
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -79,22 +113,31 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-def text_pieces(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor hash, text index, start, number of windows) of the texts, part by part. A text over 16 MB is cut with overlap."""
-    most = (1 << 24) - length
+def _parts(texts: list[bytes], length: int) -> Iterator[tuple[int, int, Pieces]]:
+    """(index of the first text, offset in it, Pieces) part by part. A long text is cut with an overlap that repeats no window."""
+    most = PART_BYTES - length
     for a, b in _chunks(texts):
         some = texts[a:b]
         if len(some) == 1 and len(some[0]) > most:
             for at in range(0, len(some[0]) - length + 1, most - length + 1):
                 data = np.frombuffer(some[0], np.uint8)[at : at + most]
-                anchors, first, count = pieces(data, np.array([len(data)]), length)
-                yield anchors, np.full(len(first), a), first + at, count
-            continue
-        sizes = np.array([len(t) for t in some], np.int64)
-        anchors, first, count = pieces(np.frombuffer(b"".join(some), np.uint8), sizes, length)
-        ends = sizes.cumsum()
+                yield a, at, Pieces(data, np.array([len(data)]), length)
+        else:
+            yield a, 0, Pieces(np.frombuffer(b"".join(some), np.uint8), np.array([len(t) for t in some], np.int64), length)
+
+
+def sampled_anchors(texts: list[bytes], length: int) -> Iterator[np.ndarray]:
+    for _, _, p in _parts(texts, length):
+        yield p.sampled_hashes()
+
+
+def text_pieces(texts: list[bytes], length: int, repeats=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchor hash, text index, start, number of windows) of the texts' pieces; ``repeats(hashes)`` says which sampled k-mers may repeat."""
+    for a, offset, p in _parts(texts, length):
+        anchors, first, count = p.cut(None if repeats is None else repeats(p.sampled_hashes()))
+        ends = p.sizes.cumsum()
         text = np.searchsorted(ends, first, side="right")
-        yield anchors, text + a, first - (ends - sizes)[text], count
+        yield anchors, text + a, first - (ends - p.sizes)[text] + offset, count
 
 
 # ---- shard BWTs and their merge
@@ -118,25 +161,27 @@ def shard_order(data: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def _grams(data: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, int]:
-    """For each place the 16-bit rank of the bytes before it, and how many: 4, or 2 if there are too many kinds of 4.
+def _grams(data: np.ndarray, back: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
+    """For each place the 16-bit rank of the bytes before it, and how many: 5 at most, a divisor of ``depth`` with so few kinds.
 
     ``back``: the place before each place, around its shard.
     """
-    seen = np.zeros(256, bool)
-    seen[data] = True
-    dense = (seen.cumsum() - 1)[data]
-    one = dense[back]  # the byte before
-    two = one[back] * int(seen.sum()) + one
-    kinds = np.zeros(int(seen.sum()) ** 2, bool)
-    kinds[two] = True
-    pair, n = (kinds.cumsum() - 1)[two], int(kinds.sum())
-    four = pair[back[back]] * n + pair
-    kinds = np.zeros(n * n, bool)
-    kinds[four] = True
-    if int(kinds.sum()) <= 1 << 16:
-        return (kinds.cumsum() - 1)[four].astype(np.uint16), 4
-    return pair.astype(np.uint16), 2
+    one, kinds = _ranks(data.astype(np.int64)[back], 256)
+    ranked, n, best = one, kinds, (one, 1)
+    for size in range(2, 6):
+        ranked, n = _ranks(ranked[back] * kinds + one, n * kinds)
+        if n > 1 << 16:
+            break
+        if depth % size == 0:
+            best = ranked, size
+    return best[0].astype(np.uint16), best[1]
+
+
+def _ranks(values: np.ndarray, most: int) -> tuple[np.ndarray, int]:
+    """Order-preserving ranks of values below ``most``, and how many there are."""
+    seen = np.zeros(most, bool)
+    seen[values] = True
+    return (seen.cumsum(dtype=np.int32) - 1)[values].astype(np.int64), int(seen.sum())
 
 
 def merge_shards(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,10 +198,10 @@ def merge_shards(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.n
     isa[sa] = np.arange(len(sa), dtype=np.int32)
     back = np.arange(-1, len(data) - 1)
     back[base[:-1]] = base[1:] - 1
-    grams, step = _grams(data, back)
-    if depth % step:
-        raise ValueError(f"the depth must be a multiple of {step}")
-    far = back[back] if step == 2 else back[back[back[back]]]
+    grams, step = _grams(data, back, depth)
+    far = back
+    for _ in range(step - 1):
+        far = back[far]
     symbol, lf = grams[sa], isa[far[sa]]  # the BWT over grams, and where a rotation goes when its gram is put in front
     interleave, block = np.arange(len(sa), dtype=np.int32), np.zeros(len(sa), np.int32)
     lcp = np.full(len(sa), -1, np.int32)
@@ -176,47 +221,29 @@ def merge_shards(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.n
     return sa[interleave], block, lcp
 
 
-def repeated_starts(texts: list[bytes], counts: list[int], length: int) -> list[np.ndarray]:
-    """For each of the texts, given in order: which of its first ``counts[i]`` windows also start in an earlier one.
+def repeated_runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, n) of the runs of windows that also start in an earlier text of the list.
 
-    Windows that repeat inside one text don't count; pieces have none.
+    Windows that repeat inside one text don't count; pieces have none. Texts must have fewer than 65536 bytes.
     """
-    shards, held, size = [], [], 0
-    for t in texts:
-        for at in range(0, max(len(t) - length + 1, 1), SHARD_BYTES - length):  # a longer text goes over several shards, with overlap
-            part = t[at : at + SHARD_BYTES - 1]
-            if size + len(part) + 1 > SHARD_BYTES:
-                shards.append(np.frombuffer(b"".join(held), np.uint8))
-                held, size = [], 0
-            held += [part, b"\0"]
-            size += len(part) + 1
-    shards.append(np.frombuffer(b"".join(held), np.uint8))
-    if len(texts) == 0:
-        return []
-    owner, offset = [], []
-    for i, (t, n) in enumerate(zip(texts, counts, strict=True)):
-        for at in range(0, max(len(t) - length + 1, 1), SHARD_BYTES - length):
-            m = min(SHARD_BYTES - 1, len(t) - at)
-            place = np.arange(at, at + m + 1)
-            valid = (place < n) & (place - at <= m - length)
-            owner.append(np.where(valid, i, -1))
-            offset.append(place)
-    owner, offset = np.concatenate(owner), np.concatenate(offset)
-    places, block, _ = merge_shards(shards, length)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    ends = sizes.cumsum()
+    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    cuts = [0]
+    while cuts[-1] < len(data):
+        cuts.append(int(ends[np.searchsorted(ends, cuts[-1] + SHARD_BYTES, side="right") - 1]))
+    places, block, _ = merge_shards([data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], length)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    whole = np.arange(len(data)) + length < ends[owner]  # a window lies before its text's end
+    some = whole[places]
+    places, block = places[some], block[some]
     own = owner[places]
-    some = own >= 0
-    own, block, places = own[some], block[some], places[some]
-    first = np.full(int(block.max(initial=0)) + 1, len(texts), np.int64)
-    np.minimum.at(first, block, own)
-    later = own > first[block]
-    out = [np.zeros(0, np.int64)] * len(texts)
-    own, where = own[later], offset[places[later]]
-    by = np.lexsort((where, own))
-    own, where = own[by], where[by]
-    cuts = np.flatnonzero(np.diff(own)) + 1
-    for part, who in zip(np.split(where, cuts), own[np.concatenate([[0], cuts])] if len(own) else [], strict=False):
-        out[who] = np.unique(part)
-    return out
+    begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+    first = np.repeat(np.minimum.reduceat(own, begin), np.diff(begin, append=len(own))) if len(own) else own
+    later = np.sort(places[own > first])
+    new = np.flatnonzero(np.concatenate([[True], np.diff(later) > 1])) if len(later) else np.zeros(0, np.int64)
+    start = later[new]
+    return owner[start], start - (ends - sizes)[owner[start]], np.diff(new, append=len(later))
 
 
 # ---- the jobs
@@ -224,24 +251,21 @@ def repeated_starts(texts: list[bytes], counts: list[int], length: int) -> list[
 def removed_windows(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_ANCHOR) -> DataFrame:
     """(did, k, runs): of every document the runs (start, n) of windows that also start earlier."""
     rows = keyed(docs, id_col, text_col)
-    width = sketch.width_for(sketch.text_bytes(docs, text_col) / 25)  # a piece has some 35 windows
+    width = sketch.width_for(sketch.text_bytes(docs, text_col) / 16)  # one k-mer of some 18 is sampled
 
     def anchors(batches):
         for _, _, texts in blocks(batches):
-            for found, *_ in text_pieces([(t or "").encode() for t in texts], length):
-                yield found
+            yield from sampled_anchors([(t or "").encode() for t in texts], length)
 
     twice, often = sketch.merged_sketch(rows, anchors, width, (2, hot))
+    often = sketch.sparse(often)
     sent = docs.sparkSession.sparkContext.broadcast((twice, often))  # bounded by the sketch's MAX_WIDTH
 
     def candidates(batches):
         for did, k, texts in blocks(batches):
             data = [(t or "").encode() for t in texts]
-            found = [
-                (a[some], t[some], s[some], n[some], sketch.reached(sent.value[1], a[some], width))
-                for a, t, s, n in text_pieces(data, length)
-                for some in [np.flatnonzero(sketch.reached(sent.value[0], a, width))]
-            ]
+            repeats = lambda hashes: sketch.reached(sent.value[0], hashes, width)
+            found = [(*part, sketch.reached(sent.value[1], part[0], width)) for part in text_pieces(data, length, repeats)]
             if not found:
                 continue
             anchor, text, start, n, is_hot = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -284,11 +308,11 @@ def _reduce(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
     def merged(held):
         """Each of ``held`` is one piece's first occurrence, in the order of key, then occurrence."""
-        for (did, k, start, _, _), gone in zip(held, repeated_starts([h[4] for h in held], [h[3] for h in held], length), strict=True):
-            if len(gone):
-                cuts = np.flatnonzero(np.diff(gone) > 1) + 1
-                for part in np.split(gone, cuts):
-                    yield did, k, start + int(part[0]), len(part)
+        dids, ks, starts, _, texts = zip(*held, strict=True)
+        own, start, n = repeated_runs(list(texts), length)
+        did, k, base = np.array(dids, np.int64)[own], np.array(ks, np.int32)[own], np.array(starts, np.int64)[own]
+        columns = [pa.array(did), pa.array(k), pa.array((base + start).astype(np.int32)), pa.array(n.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["did", "k", "start", "n"])
 
     held, size, group, key = [], 0, {}, None
     for batch in batches:
@@ -302,7 +326,7 @@ def _reduce(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
                     held += group.values()
                     size += sum(map(len, group))
                 if size >= MERGE_BYTES:
-                    out += merged(held)
+                    yield merged(held)
                     held, size = [], 0
                 group, key = {}, this
             if piece in group:
@@ -313,7 +337,7 @@ def _reduce(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
     if len(group) > 1:
         held += group.values()
     if held:
-        yield record(list(merged(held)))
+        yield merged(held)
 
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, hot: int = HOT_ANCHOR) -> DataFrame:
@@ -324,8 +348,8 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     A null id is larger than every other; rows with one id and different texts are ordered by a hash of their texts, and
     repeated rows count once and each get the same result. An empty table gives no rows. Other columns aren't read.
     """
-    if length % 4 or length <= KMER:
-        raise ValueError("the length must be a multiple of 4 over 32")
+    if length <= KMER:
+        raise ValueError(f"the length must be over {KMER}")
     found = stored(removed_windows(docs, length, id_col, text_col, hot), "runs")
     joined = keyed(docs, id_col, text_col).join(found, ["did", "k"], "left").select("did", "text", "runs")
     names = ["did", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text

@@ -154,7 +154,7 @@ def test_merged_shards_are_in_order_with_true_prefixes(texts):
     for i in range(1, len(got)):
         common = next((k for k, (a, b) in enumerate(zip(got[i - 1], got[i])) if a != b), depth)
         assert (block[i] == block[i - 1]) == (common == depth)
-        assert lcp[i] == common - common % 4 or lcp[i] == common - common % 2
+        assert lcp[i] in {common - common % step for step in (1, 2, 4)}
 
 
 def test_too_many_grams_fall_back_to_pairs():
@@ -179,6 +179,26 @@ def test_pieces_cover_every_window_once(texts, n):
     assert seen == Counter((i, s) for i, t in enumerate(data) for s in range(len(t) - n + 1))
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text("ab", min_size=0, max_size=150), max_size=5), st.integers(36, 80))
+def test_only_windows_that_occur_once_are_left_out(texts, n):
+    data = [t.encode() for t in texts]
+    sampled = Counter(h for part in suffix_dedup.sampled_anchors(data, n) for h in part.tolist())
+    repeats = lambda hashes: np.array([sampled[h] > 1 for h in hashes.tolist()], bool)
+    kept = {(i, s + j) for _, text, start, count in suffix_dedup.text_pieces(data, n, repeats) for i, s, m in zip(text.tolist(), start.tolist(), count.tolist()) for j in range(m)}
+    windows = Counter(t[s : s + n] for t in data for s in range(len(t) - n + 1))
+    assert {(i, s) for i, t in enumerate(data) for s in range(len(t) - n + 1) if windows[t[s : s + n]] > 1} <= kept
+
+
+def test_long_texts_are_cut_with_overlap(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 900)
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 500)
+    r = random.Random(4)
+    data = [bytes(r.randrange(97, 100) for _ in range(m)) for m in (50, 3000, 200, 901, 800, 100)]
+    seen = Counter((i, s + j) for _, text, start, count in suffix_dedup.text_pieces(data, 100) for i, s, m in zip(text.tolist(), start.tolist(), count.tolist()) for j in range(m))
+    assert seen == Counter((i, s) for i, t in enumerate(data) for s in range(len(t) - 99))
+
+
 # ---- near copies
 
 def brute_fingerprint(text):
