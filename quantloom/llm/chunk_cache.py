@@ -17,18 +17,18 @@ import pyarrow.compute as pc
 #: Spaces followed by a space or the end: byte-level BPE with the usual split pattern may not be cut there.
 BYTE_LEVEL = re.compile(r" (?:\s|$)")
 #: Most chunks in the table, some 30 bytes each; beyond, the later half goes (what comes early is frequent). Speed only.
-TABLE_CHUNKS = 1_500_000
+TABLE_CHUNKS = 1_000_000
 #: Texts that are handled together.
-BATCH_DOCS, BATCH_BYTES = 2048, 8 << 20
+BATCH_DOCS, BATCH_BYTES = 2048, 4 << 20
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of at most BATCH_DOCS rows and, unless a row has more, BATCH_BYTES of text."""
+def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most BATCH_DOCS rows and, unless a row has more, ``most`` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = sizes.cumsum()
     at = 0
     while at < len(sizes):
-        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, side="right"))
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
         to = min(max(to, at + 1), at + BATCH_DOCS)
         yield batch.slice(at, to - at)
         at = to
@@ -40,7 +40,8 @@ class ChunkEncoder:
     ``odd``: a pattern that finds texts in which some space is no cut; they are encoded in one piece too.
     """
 
-    def __init__(self, encode_batch, dtype, whole=lambda text: False, odd: re.Pattern = BYTE_LEVEL):
+    def __init__(self, encode_batch, dtype, whole=lambda text: False, odd: re.Pattern = BYTE_LEVEL, table_chunks: int | None = None):
+        self.table_chunks = table_chunks or TABLE_CHUNKS
         self.encode_batch, self.dtype, self.whole, self.odd = encode_batch, np.dtype(dtype), whole, odd.search
         self.words = pa.array([], pa.large_string())
         self.ids, self.ends = np.zeros(0, self.dtype), np.zeros(0, np.int64)
@@ -55,8 +56,8 @@ class ChunkEncoder:
         self.ids = self.ids[: self.ends[-1] if n else 0]
 
     def _regular(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.words) > TABLE_CHUNKS:
-            self._shorten(TABLE_CHUNKS // 2)
+        if len(self.words) > self.table_chunks:
+            self._shorten(self.table_chunks // 2)
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         bounds, flat = lists.offsets.to_numpy(), lists.values
         at = pc.fill_null(pc.index_in(flat, value_set=self.words), -1).to_numpy().astype(np.int64)

@@ -28,6 +28,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values:
 UNIGRAM, BPE = 1, 2  # fixed values: model types
 #: The space marker starts a piece or stands in a run of its own: then no piece reaches over a space after a non-space.
 _RUN = re.compile("  ")
+#: Smaller than the usual ones: two libraries are in memory, and a pipeline's other stages need theirs.
+TABLE_CHUNKS, BATCH_BYTES = 400_000, 2 << 20
 
 
 @dataclass
@@ -127,7 +129,7 @@ class Codec:
 
             self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
         over = any(kind in (NORMAL, USER) and re.search(rf"[^{MARK}]{MARK}", p) for p, _, kind in model.pieces)
-        self.encoder = ChunkEncoder(self._encode, "<u4", whole=lambda _: over, odd=_RUN)
+        self.encoder = ChunkEncoder(self._encode, "<u4", whole=lambda _: over, odd=_RUN, table_chunks=TABLE_CHUNKS)
         self.parts = [self._bytes(p, kind) for p, _, kind in model.pieces]
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
@@ -189,7 +191,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches):
         codec = load_codec(sent.value)
         for batch in batches:
-            for some in slices(batch, 1):
+            for some in slices(batch, 1, BATCH_BYTES):
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 ids, same = codec.encode(texts)
                 back = [codec.decode(x) for x in ids]
@@ -205,6 +207,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
                 if with_ids:
                     columns.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+        pa.default_memory_pool().release_unused()
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     schema = "id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_trip boolean, parity boolean" + ", ids array<int>" * with_ids
