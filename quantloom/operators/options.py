@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import densify, ffill_bfill, growing, latest_per_key
+from ..functions.series import densify, growing, latest_per_key
 from ..functions.times import ny_wall, seconds
 
 #: Index roots that stand for several underlyings.

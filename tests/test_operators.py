@@ -394,3 +394,23 @@ def test_holdings_and_assets(spark):
 def test_plans_have_no_python_and_one_exchange_for_the_windows(bars):
     plan = matrix.stocks_matrix(bars, 0)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_interactive_chain_and_spread(spark):
+    from quantloom.api import OptionPrices, OptionSpread
+
+    rows = [(k, t, m, p) for k in (90, 95, 100, 105, 110) for m in minutes(0, 2) for t, p in (("C", max(102 - k, 0) + 2.0), ("P", max(k - 102, 0) + 2.0))]
+    prices = OptionPrices(chain(spark, rows), day(1), "X", dte=3)
+    assert prices.expiry == 240315 and prices.leg_price("C", 95, minutes(1)[0]) == 9.0 and prices.leg_price("C", 96, minutes(1)[0]) is None
+    assert prices.estimate_underlying(minutes(1)[0]) == pytest.approx(102.0) and prices.estimate_underlying(T(2024, 1, 3)) is None
+    spread = OptionSpread("iron-butterfly", 100, 10, prices)
+    credit = spread.initial_credit(minutes(1)[0])
+    assert credit == pytest.approx(4.0 + 2.0 - 2.0 - 2.0)
+    payoff = spread.expiration_payoff(minutes(1)[0], 61).collect()
+    assert max(r.payoff for r in payoff) == pytest.approx(credit) == payoff[30].payoff and min(r.payoff for r in payoff) == pytest.approx(credit - 10)
+    with pytest.raises(ValueError):
+        OptionSpread("iron_butterfly", 100, 7, prices).initial_credit(minutes(1)[0])
+    with pytest.raises(ValueError):
+        OptionSpread("butterfly", 100, 10, prices)
+    with pytest.raises(ValueError):
+        OptionPrices(chain(spark, rows), day(2), "X")
