@@ -1,0 +1,159 @@
+"""Near-dedup by the Jaccard similarity of word shingles, each link checked on the shingles themselves.
+
+MinHash bands only propose: a text has ``BANDS`` keys of ``ROWS`` minima each, and texts that share a key are candidates.
+At a similarity of 0.8 a pair shares none with probability (1 - 0.8^5)^20 = 0.0004, less above. Candidates are put into
+coarse clusters by connected components, so each text is sent to one task only, and there the pairs that share a key are
+compared exactly unless they are linked already.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+from .components import connected_components
+
+SHINGLE = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 20, 5
+#: Shingles whose minima are taken together.
+BLOCK = 512
+_ODD = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def plain(text: str | None) -> bytes:
+    """Words with single spaces, A-Z lower-cased; only ASCII blanks split."""
+    return b" ".join((text or "").encode().lower().split())
+
+
+def shingles(joined: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 (seed 42) of the distinct shingles of a plain text, sorted; a shorter text is one shingle, no words none."""
+    words = joined.split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    ends = (np.fromiter(map(len, words), np.int64, len(words)) + 1).cumsum()
+    n = max(1, len(words) - shingle + 1)
+    starts = [0, *ends[: n - 1].tolist()]
+    digest = xxhash.xxh64_intdigest
+    stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
+    return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)), np.uint64, n))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One signed key for each band; equal sets have equal keys."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), BLOCK):
+        np.minimum(least, (hashes[at : at + BLOCK, None] * _ODD).min(axis=0), out=least)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether two sorted sets have at least this Jaccard similarity."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both)
+
+
+def linked(sets: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
+    """For each set the first one that it is linked to over similar pairs among those with a key in common."""
+    label = np.arange(len(sets))
+    buckets: dict[int, list[int]] = {}
+    for i, s in enumerate(sets):
+        for key in band_keys(s).tolist():
+            buckets.setdefault(key, []).append(i)
+    apart: set[tuple[int, int]] = set()
+    for members in (np.array(m) for m in buckets.values() if len(m) > 1):
+        for at in range(1, len(members)):
+            i = members[at]
+            rest = members[:at]
+            rest = rest[label[rest] != label[i]]
+            while len(rest):
+                j = rest[0]
+                if (j, i) not in apart and similar(sets[i], sets[j], least):
+                    low, high = sorted((label[i], label[j]))
+                    label[label == high] = low
+                    rest = rest[label[rest] != low]
+                else:
+                    apart.add((j, i))
+                    rest = rest[1:]
+    return label
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fps, keys = [], []
+        for text in batch.column(1).to_pylist():
+            joined = plain(text)
+            fps.append(xxhash.xxh64_intdigest(joined, 7))
+            keys.append(band_keys(shingles(joined)).tolist())
+        arrays = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["id", "fp", "keys"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        joined = [plain(t) for t in batch.column(1).to_pylist()]
+        fps = np.array([xxhash.xxh64_intdigest(j, 7) for j in joined], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), pa.array(joined, pa.binary())], names=["id", "fp", "joined"])
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, fp, joined) sorted by the first two; gives (fp, root) by exact similarity."""
+    now, fps, sets = None, [], []
+
+    def done():
+        label = linked(sets)
+        values = np.array(fps, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(values), pa.array(values[label])], names=["fp", "root"])
+
+    for batch in batches:
+        for root, fp, joined in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if root != now:
+                if fps:
+                    yield done()
+                now, fps, sets = root, [], []
+            if not fps or fps[-1] != fp:  # rows with one id and one text may be repeated
+                fps.append(fp)
+                sets.append(shingles(joined))
+    if fps:
+        yield done()
+
+
+def shingle_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component) of every row of ``docs``: component is the smallest id reachable over texts with a similarity of 0.8 or more.
+
+    Texts that are equal word by word are one (by a 64-bit hash). Rows with a null id take part, but are never the
+    smallest; a component of such rows alone is null. Repeated rows each get a row; an empty table gives none.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marked = cut(source.mapInArrow(_marks, "id long, fp long, keys array<long>"))
+    distinct = cut(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("keys").alias("keys")))
+    keyed = distinct.select("fp", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).filter("n > 1").select("key", "v")
+    coarse = connected_components(keyed.join(shared, "key").filter("fp <> v").select(F.col("fp").alias("u"), "v"))
+    members = distinct.join(coarse, distinct["fp"] == coarse["node"]).select("fp", "least", "root")
+    texts = source.mapInArrow(_texts, "id long, fp long, joined binary")
+    one = texts.join(members, (texts["fp"] == members["fp"]) & texts["id"].eqNullSafe(members["least"])).select("root", members["fp"], "joined")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = cut(one.repartition(n, "root").sortWithinPartitions("root", "fp").mapInArrow(_verified, "fp long, root long"))
+    rooted = distinct.select("fp", "least").join(found, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
+    return marked.select("id", "fp").join(named, "fp").select(F.col("id").alias(id_col), "component")
+
+
+def dedup_shingles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component; columns unchanged.
+
+    Rows that share an id are one document and stay or go together. Rows with a null id stay only in components without
+    any id.
+    """
+    found = shingle_components(docs, id_col, text_col)
+    stay = found.filter((F.col(id_col) == F.col("component")) | F.col("component").isNull()).select(F.col(id_col).alias("__stays")).distinct()
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["__stays"]), "left_semi")

@@ -1,0 +1,70 @@
+"""The pipeline's near-dedup against brute force over all pairs."""
+
+import random
+from collections import Counter
+
+import corpus_pipeline
+from quantloom.llm import shingle_dedup
+from tests.llm.test_dedup import LAST, WORD
+
+
+def brute_sets(texts):
+    out = []
+    for t in texts:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        out.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return out
+
+
+def brute_groups(texts):
+    sets = brute_sets(texts)
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 10 * len(a & b) >= 8 * len(a | b):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def edited(r, base, n):
+    words = list(base)
+    for k in r.sample(range(len(words) // 10), n):
+        words[10 * k + 5] = f"new{r.random()}"
+    return " ".join(words)
+
+
+def near_rows():
+    """Chains of copies around the limit, and texts that share half."""
+    r = random.Random(3)
+    rows = []
+    for _ in range(12):
+        base = [f"w{r.randrange(400)}" for _ in range(300)]
+        for n in (0, 2, 4, 6, 7, 9, 20):
+            rows.append((len(rows), edited(r, base, n)))
+    return rows
+
+
+def test_components_match_brute_force(docs, rows, no_docs):
+    group = brute_groups([t for _, t in rows])
+    least = {}
+    for (i, _), c in zip(rows, group, strict=True):
+        if i is not None:
+            least[c] = min(least.get(c, LAST), i)
+    want = Counter((i, least.get(c)) for (i, _), c in zip(rows, group, strict=True))
+    assert Counter(map(tuple, shingle_dedup.shingle_components(docs).collect())) == want
+    assert shingle_dedup.dedup_shingles(docs).columns == docs.columns and shingle_dedup.dedup_shingles(no_docs).count() == 0
+
+
+def test_the_stage_finds_pairs_of_similarity_08(spark):
+    rows = near_rows()
+    group = brute_groups([t for _, t in rows])
+    kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == {i for i, c in enumerate(group) if i == c}
+    assert len(rows) > len(set(group)) > 12  # some are linked, not all
