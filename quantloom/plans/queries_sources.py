@@ -92,7 +92,7 @@ def i7(spark, sf):
 
 @query("i8_press_pages", "SELECT page_id, list_extract(string_split(rtrim(url, '/'), '/'), -1) AS slug, CAST(NULL AS VARCHAR) AS time_text, '' AS text FROM pages")
 def i8(spark, sf):
-    return readers.extract_press(v.table(spark, sf, "pages").select("page_id", "url", "html")).select("page_id", "slug", "time_text", "text")
+    return readers.extract_press(v.table(spark, sf, "pages").select("page_id", "url", "html"), split_inline=True).select("page_id", "slug", "time_text", "text")
 
 
 @query("i8_press_time", "SELECT event_id, date_trunc('minute', ts) + INTERVAL 5 HOUR AS published FROM events", txt=("published",))

@@ -93,21 +93,50 @@ def url_slug(url: Column) -> Column:
     return F.element_at(F.split(F.rtrim(url, F.lit("/")), "/"), -1)
 
 
-def strip_tags(html: Column) -> Column:
-    """Text of an HTML fragment: tags out, the five basic entities resolved, blanks trimmed."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+#: Tags that stand inside a line.
+_INLINE = r"(?i)</?(?:a|abbr|b|big|cite|code|em|font|i|ins|label|mark|q|s|small|span|strong|sub|sup|u)(?:\s[^>]*)?/?>"
+
+
+def _plain(text: Column) -> Column:
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
     return F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
-def extract_press(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def strip_tags(html: Column) -> Column:
+    """Text of an HTML fragment: tags out, the five basic entities resolved, blanks trimmed."""
+    return _plain(F.regexp_replace(html, r"(?s)<[^>]*>", ""))
+
+
+def text_lines(html: Column, split_inline: bool = False) -> Column:
+    """Text of an HTML fragment with a line for each piece between tags, trimmed, blank ones dropped; inline tags split lines only if asked for."""
+    pieces = F.split(html if split_inline else F.regexp_replace(html, _INLINE, ""), r"</?[a-zA-Z!?][^>]*>")
+    return F.array_join(F.filter(F.transform(pieces, _plain), lambda p: p != ""), "\n")
+
+
+def _inside_div(tail: Column) -> Column:
+    """What stands before the closing tag of a div whose opening tag is just before ``tail``; all of it without one."""
+    pieces = F.split(tail, r"(?i)(?=</?div[\s/>])")
+
+    def step(state, piece):
+        move = F.when(piece.rlike(r"(?i)^</div[\s/>]"), -1).when(piece.rlike(r"(?i)^<div[\s>/]") & ~piece.rlike(r"(?i)^<div[^>]*/>"), 1).otherwise(0)
+        depth = F.when(state["depth"] > 0, state["depth"] + move).otherwise(0)
+        return F.struct(depth.cast("int").alias("depth"), (state["n"] + (depth > 0).cast("int")).alias("n"))
+
+    n = F.aggregate(pieces, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")), step, lambda state: state["n"])
+    return F.array_join(F.slice(pieces, F.lit(1), n), "")
+
+
+def extract_press(pages: DataFrame, url_col: str = "url", html_col: str = "html", split_inline: bool = False) -> DataFrame:
     """Adds slug, time_text (null without the tag), timestamp (UTC wall clock, null where unparsed) and text ("" without a body).
 
-    The time stands in ``<time class="timestamp__date">``, the body in ``<div class="body__content">`` up to its first
-    closing tag at the same depth as far as expressions can tell: the end of the last paragraph in it.
+    The time stands in ``<time class="timestamp__date">``, the body in ``<div class="body__content">`` up to the closing
+    tag at the same depth. Comments, scripts and styles don't count. Each piece of the body is a line; the reference also
+    starts one at inline tags, as with ``split_inline``.
     """
-    stamp = F.nullif(F.regexp_extract(html_col, r'(?s)<time[^>]*class="[^"]*\btimestamp__date\b[^"]*"[^>]*>(.*?)</time>', 1), F.lit(""))
-    body = F.regexp_extract(html_col, r'(?s)<div[^>]*class="[^"]*\bbody__content\b[^"]*"[^>]*>((?:(?!<div\b).)*?)</div>', 1)
+    html = F.regexp_replace(html_col, r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>", "<!>")
+    stamp = F.nullif(F.regexp_extract(html, r'(?s)<time[^>]*class="[^"]*\btimestamp__date\b[^"]*"[^>]*>(.*?)</time>', 1), F.lit(""))
+    tail = F.regexp_extract(html, r'(?s)<div[^>]*class="[^"]*\bbody__content\b[^"]*"[^>]*>(.*)', 1)
     when = strip_tags(stamp)
-    return pages.withColumns({"slug": url_slug(F.col(url_col)), "time_text": when, "timestamp": parse_press_time(when), "text": F.coalesce(strip_tags(body), F.lit(""))})
+    text = F.coalesce(text_lines(_inside_div(tail), split_inline), F.lit(""))
+    return pages.withColumns({"slug": url_slug(F.col(url_col)), "time_text": when, "timestamp": parse_press_time(when), "text": text})
