@@ -50,6 +50,8 @@ class Pieces:
     """
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray, length: int, kmer: int = KMER):
+        if len(data) > int(PLACE) + 1:
+            raise ValueError(f"{len(data)} bytes in one part; places take 24 bits")
         self.length, self.span, self.sizes, self.data = length, length - kmer + 1, sizes, data
         if len(data) < length:
             self.hashes, self.sampled, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -102,10 +104,10 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of some CHUNK_BYTES; a longer text is a range of its own."""
+    """Ranges of texts of some CHUNK_BYTES; a longer text is a range of its own, also behind empty ones."""
     begin = size = 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_BYTES:
+        if i > begin and size + len(t) > CHUNK_BYTES:
             yield begin, i
             begin, size = i, 0
         size += len(t)
