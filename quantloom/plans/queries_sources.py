@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import times
 from ..functions.series import upsert
@@ -173,10 +174,12 @@ def i14(spark, sf):
         "day_bars": v.day_bars(spark, sf), "minute_bars": v.minute_bars(spark, sf), "splits": v.splits(spark, sf), "dividends": v.dividends(spark, sf),
         "trades": v.trades(spark, sf), "quotes": v.quotes(spark, sf), "option_bars": v.option_bars(spark, sf),
     }
-    written = ("last_n_day_bars", "stock_tq")  # the tables that later steps read
-    done = run_daily(tables, DailyConfig(interval=600), shared_path(spark, "daily"), written)
+    done = run_daily(tables, DailyConfig(interval=600), shared_path(spark, "daily"))
     rows = None
     for name, df in done.items():
-        one = df.groupBy("date").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("derived_table"), "date", "n_rows")
+        numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+        # every number is read back, so that no column is pruned
+        digest = sum((F.coalesce(F.sum(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(0.0))), F.lit(0.0)) for c in numbers), F.lit(0.0))
+        one = df.groupBy("date").agg(F.count("*").alias("n_rows"), digest.alias("digest")).select(F.lit(name).alias("derived_table"), "date", "n_rows", "digest")
         rows = one if rows is None else rows.unionByName(one)
     return rows
