@@ -45,6 +45,11 @@ def work_path(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/quantloom-{what}-{uuid.uuid4().hex}"
 
 
+def tasks_for(spark: SparkSession, size: float) -> int:
+    """Shuffle partitions for ``size`` bytes: the session's number at least, and more where a task would get over 64 MB."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), (int(size) >> 26) + 1)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder: later jobs read them instead of running the plan again."""
     checkpoint_dir(df.sparkSession)

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -124,7 +125,7 @@ def brute_bytes(rows, n):
     return Counter(result[i, t] for i, t, _ in rows)
 
 
-@pytest.mark.parametrize(("n", "hot"), [(100, 60_000), (100, 3), (40, 60_000)])
+@pytest.mark.parametrize(("n", "hot"), [(100, 4096), (100, 2), (40, 4096)])
 def test_bytes_match_brute_force(spark, docs, n, hot):
     keyed = {(None if r.did == LAST else r.did, r.text): r.k for r in substring_dedup.keyed(docs, "doc_id", "text").collect()}
     rows = [(r.doc_id, r.text, keyed[r.doc_id, r.text]) for r in docs.collect()]
@@ -141,31 +142,73 @@ def rotations(shard, depth):
     return [(data * (depth // len(data) + 2))[i : i + depth] for i in range(len(data))]
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.binary(min_size=1, max_size=60).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=5))
-def test_merged_shards_are_in_order_with_true_prefixes(texts):
-    depth = 8
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=60).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=5), st.sampled_from([7, 8, 20, 40]))
+def test_merged_shards_are_in_order_with_true_prefixes(texts, depth):
     shards = [np.frombuffer(t, np.uint8) for t in texts]
-    places, block, lcp = suffix_dedup.merge_shards(shards, depth)
+    places, lcp = suffix_dedup.merge_shards(shards, depth, exact=True)
     all_rotations = [x for s in shards for x in rotations(s, depth)]
     got = [all_rotations[p] for p in places]
     assert sorted(places.tolist()) == list(range(len(all_rotations)))
     assert got == sorted(all_rotations)
+    rough = suffix_dedup.merge_shards(shards, depth)[1]
     for i in range(1, len(got)):
         common = next((k for k, (a, b) in enumerate(zip(got[i - 1], got[i])) if a != b), depth)
-        assert (block[i] == block[i - 1]) == (common == depth)
-        assert lcp[i] in {common - common % step for step in (1, 2, 4)}
+        assert lcp[i] == common and rough[i] <= common and (rough[i] == depth) == (common == depth)
 
 
-def test_too_many_grams_fall_back_to_pairs():
+def test_merged_shards_of_many_grams():
     r = np.random.default_rng(3)
     shards = [r.integers(0, 256, 60_000).astype(np.uint8) for _ in range(3)]
     shards[2][:500] = shards[0][100:600]
-    places, block, _ = suffix_dedup.merge_shards(shards, 100)
-    order_of = np.empty(len(places), int)
-    order_of[places] = np.arange(len(places))
-    assert all(block[order_of[120_000 + i]] == block[order_of[100 + i]] for i in range(400))
-    assert block[order_of[120_000 + 401]] != block[order_of[501]]
+    places, lcp = suffix_dedup.merge_shards(shards, 100)
+    interval = np.empty(len(places), int)
+    interval[places] = (lcp < 100).cumsum()
+    assert (interval[120_000:120_401] == interval[100:501]).all()
+    assert interval[120_401] != interval[501]
+
+
+def test_every_removed_window_comes_from_an_interval(spark, docs, monkeypatch):
+    """With the merged transforms' intervals gone, nothing else removes a window."""
+    rows = substring_dedup.keyed(docs, "doc_id", "text").collect()
+    seen, calls = [], []
+    real = suffix_dedup.repeated_runs
+
+    def watched(texts, counts, length):
+        calls.append(sum(map(len, texts)))
+        found = real(texts, counts, length)
+        seen.append(found)
+        return found
+
+    def runs():
+        batch = suffix_dedup.block_pieces(np.array([r.did for r in rows]), np.array([r.k for r in rows], np.int32), [(r.text or "").encode() for r in rows], 100)
+        ordered = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in ("key", "did", "k", "start")])
+        return sum(sum(b.column("n").to_pylist()) for b in suffix_dedup.merged_runs(iter(ordered.to_batches(max_chunksize=50)), 100))
+
+    monkeypatch.setattr(suffix_dedup, "repeated_runs", watched)
+    assert runs() > 0 and calls
+    none = np.zeros(0, np.int64)
+    monkeypatch.setattr(suffix_dedup, "repeated_runs", lambda *_: ((none, none, none), (none, none, none)))
+    assert runs() == 0
+
+
+def test_frequent_pieces_are_merged_in_parts(spark, monkeypatch):
+    text = "a passage of more than one hundred bytes that stands in very many documents, word for word, with nothing around it at all"
+    data = [(i, text + (" and a tail" if i % 50 == 7 else "")) for i in range(400)] + [(0, text), (5, text), (400, "z" * 4000), (401, "z" * 150 + text)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_dedup, "MERGE_OCCURRENCES", 40)
+    monkeypatch.setattr(suffix_dedup, "MERGE_BYTES", 300)
+    keyed = {(r.did, r.text): r.k for r in substring_dedup.keyed(docs, "doc_id", "text").collect()}
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_bytes(docs).collect())
+    assert got == brute_bytes([(i, t, keyed[i, t]) for i, t in data], 100)
+
+
+def test_a_text_of_megabytes(spark):
+    r = random.Random(9)
+    body = "".join(r.choice("abcdefgh \n") for _ in range(3_000_000))
+    docs = spark.createDataFrame([(1, body), (2, "x" * 2_000_000), (3, body[1_000_000:1_000_500] + "tail"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffix_dedup.dedup_bytes(docs, with_text=False).collect()}
+    assert got == {1: (3_000_000, 0), 2: (2_000_000, 1_999_999), 3: (504, 500), 4: (0, 0)}
 
 
 @settings(max_examples=30, deadline=None)
