@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(now.limit(0)).filter("u <> v").distinct()
+        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small = _with_least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         now = cut(small)

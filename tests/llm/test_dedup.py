@@ -269,8 +269,9 @@ def brute_components(values, radius):
     return [find(i) for i in range(len(values))]
 
 
-@pytest.mark.parametrize("shard_nodes", [1 << 15, 2])
-def test_simhash_components_match_brute_force(docs, rows, shard_nodes):
+@pytest.mark.parametrize(("shard_nodes", "tree_nodes", "sent"), [(1 << 15, 1 << 12, 1 << 26), (2, 1 << 12, 0), (2, 4, 1 << 26), (1 << 15, 2, 0)])
+def test_simhash_components_match_brute_force(docs, rows, shard_nodes, tree_nodes, sent, monkeypatch):
+    monkeypatch.setattr(simhash_dedup, "BROADCAST_BYTES", sent)
     fps = [brute_fingerprint(t) for _, t in rows]
     comp = brute_components(fps, 2)
     least = {}
@@ -278,7 +279,7 @@ def test_simhash_components_match_brute_force(docs, rows, shard_nodes):
         if i is not None:
             least[c] = min(least.get(c, LAST), i)
     want = Counter((i, f, least.get(c)) for (i, _), f, c in zip(rows, fps, comp))
-    got = simhash_dedup.simhash_components(docs, shard_nodes=shard_nodes).collect()
+    got = simhash_dedup.simhash_components(docs, shard_nodes=shard_nodes, tree_nodes=tree_nodes).collect()
     assert Counter((r.doc_id, r.fp & (2**64 - 1), r.component) for r in got) == want
 
 
@@ -290,8 +291,8 @@ def test_simhash_keeps_one_document_of_a_group(docs, rows, no_docs):
     assert simhash_dedup.simhash_components(no_docs).count() == 0 and simhash_dedup.dedup_simhash(no_docs).count() == 0
 
 
-@pytest.mark.parametrize(("radius", "shard_nodes"), [(2, 1 << 15), (2, 25), (3, 1 << 15)])
-def test_links_of_dense_fingerprints(spark, radius, shard_nodes):
+@pytest.mark.parametrize(("radius", "shard_nodes", "tree_nodes"), [(2, 1 << 15, 1 << 12), (2, 25, 1 << 12), (3, 1 << 15, 50), (2, 10, 20), (0, 1 << 15, 64)])
+def test_links_of_dense_fingerprints(spark, radius, shard_nodes, tree_nodes):
     r = random.Random(5)
     centers = [r.getrandbits(64) for _ in range(12)]
     values = set()
@@ -302,7 +303,7 @@ def test_links_of_dense_fingerprints(spark, radius, shard_nodes):
         values.add(x)
     values = sorted(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    edges = simhash_dedup.links(spark.createDataFrame([(v,) for v in signed], "fp long"), radius, shard_nodes)
+    edges = simhash_dedup.links(spark.createDataFrame([(v,) for v in signed], "fp long"), radius, shard_nodes, tree_nodes)
     root = {r.node: r.root for r in components.connected_components(edges).collect()}
     groups = {}
     for v, c in zip(signed, brute_components(values, radius)):
@@ -321,6 +322,26 @@ def test_tree_finds_all_within_the_radius(values, radius):
     assert set(zip(asked.tolist(), nodes.tolist())) == want
 
 
+def test_trees_are_large_and_only_near_edges_are_followed(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    distinct = simhash_dedup.fingerprints(docs).select("fp").distinct().cache()
+    trees = [r.tree for r in simhash_dedup.plant_trees(distinct, 2).collect()]
+    sizes = [len(t) // 13 for t in trees]
+    assert sum(sizes) == (3 if len(sizes) > 1 else 1) * distinct.count() and max(sizes) > 1000 and sorted(sizes)[len(sizes) // 2] > 1000
+    tree = simhash_dedup.BKTree.from_bytes(max(trees, key=len))
+    queries, visited = tree.values[:200], []
+    asked, nodes = tree.search(queries, 2, visited)
+    assert set(zip(asked.tolist(), nodes.tolist())) == {(i, j) for i, q in enumerate(queries.tolist()) for j, v in enumerate(tree.values.tolist()) if (q ^ v).bit_count() <= 2}
+    steps = 0
+    for at, looked in visited[1:]:
+        parents = tree.parent[looked]
+        apart = np.abs(np.bitwise_count(queries[at] ^ tree.values[parents]).astype(int) - tree.distance[looked].astype(int))
+        assert apart.max(initial=0) <= 2
+        steps += len(at)
+    assert steps < 0.25 * len(queries) * len(tree.values)
+    distinct.unpersist()
+
+
 def test_components_of_chains_loops_and_nothing(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 100), (7, 6), (201, 200), (200, 202)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(chain, "u long, v long")).collect()}

@@ -3,8 +3,10 @@
 import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
-from quantloom.llm import shingle_dedup
+from quantloom.llm import near_copies
 from tests.llm.test_dedup import LAST, WORD
 
 
@@ -58,13 +60,17 @@ def test_components_match_brute_force(docs, rows, no_docs):
         if i is not None:
             least[c] = min(least.get(c, LAST), i)
     want = Counter((i, least.get(c)) for (i, _), c in zip(rows, group, strict=True))
-    assert Counter(map(tuple, shingle_dedup.shingle_components(docs).collect())) == want
-    assert shingle_dedup.dedup_shingles(docs).columns == docs.columns and shingle_dedup.dedup_shingles(no_docs).count() == 0
+    assert Counter(map(tuple, near_copies.near_components(docs).collect())) == want
+    assert near_copies.dedup_near_copies(docs).columns == docs.columns and near_copies.dedup_near_copies(no_docs).count() == 0
 
 
-def test_the_stage_finds_pairs_of_similarity_08(spark):
+@pytest.mark.parametrize(("texts", "words"), [(1 << 12, 1 << 22), (3, 1 << 22), (1 << 12, 900)])
+def test_the_stage_finds_pairs_of_similarity_08(spark, monkeypatch, texts, words):
+    """Also where a shard is cut into chunks by texts or by shingles."""
+    monkeypatch.setattr(near_copies, "CHUNK_TEXTS", texts)
+    monkeypatch.setattr(near_copies, "CHUNK_SHINGLES", words)
     rows = near_rows()
     group = brute_groups([t for _, t in rows])
-    kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    kept = corpus_pipeline.one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r.doc_id for r in kept.collect()} == {i for i, c in enumerate(group) if i == c}
     assert len(rows) > len(set(group)) > 12  # some are linked, not all
