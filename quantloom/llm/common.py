@@ -14,6 +14,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stands for a null id where ids are ordered: after every other.
 LAST_ID = 2**63 - 1
+#: Tables in the shared folder that clean_up deletes.
+_WRITTEN: list[str] = []
 
 
 def let(value: Column, body) -> Column:
@@ -35,6 +37,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir; a folder of this machine only where none is set, as in tests."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if shared is None and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quantloom-checkpoint-"))
     return shared or context.getCheckpointDir()
@@ -42,7 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, what: str) -> str:
     """A fresh path in the shared folder for a table that cuts lineage."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/quantloom-{what}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quantloom-{what}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def tasks_for(spark: SparkSession, size: float) -> int:
@@ -70,6 +76,18 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table that this subpackage has written to the shared folder. (Spark has no public call for it.)"""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all tables that this process has written to the shared folder. Results that read them must be written before."""
+    while _WRITTEN:
+        remove(spark, _WRITTEN.pop())
+
+
 def fits_broadcast(df: DataFrame, most_rows: int) -> bool:
     """Whether there are at most so many rows; stops counting beyond."""
     return df.limit(most_rows + 1).count() <= most_rows

@@ -1,9 +1,8 @@
 """SentencePiece encoding and decoding on the tokenizers library.
 
 The model file is parsed as protobuf wire format; its normaliser, space marker, scores (unigram) or merge order (BPE) and
-byte fallback are rebuilt for the tokenizers library, which encodes batches with its own threads. Parity is verified as
-the work goes on: every chunk that enters the encoder's cache is also encoded by the sentencepiece library, and a
-document with a chunk that differs is marked.
+byte fallback are rebuilt for the tokenizers library, which encodes batches of whole texts with its own threads. Parity is
+verified as the work goes on: every text is also encoded by the sentencepiece library, and marked if the ids differ.
 """
 
 from __future__ import annotations
@@ -21,15 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkEncoder, slices
+from .text_batches import slices
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: piece types
 UNIGRAM, BPE = 1, 2  # fixed values: model types
-#: The space marker starts a piece or stands in a run of its own: then no piece reaches over a space after a non-space.
-_RUN = re.compile("  ")
-#: Smaller than the usual ones: two libraries are in memory, and a pipeline's other stages need theirs.
-TABLE_CHUNKS, BATCH_BYTES = 400_000, 2 << 20
 
 
 @dataclass
@@ -93,7 +88,7 @@ def parse_model(data: bytes) -> Model:
 
 def merges(model: Model) -> list[tuple[str, str]]:
     """All pairs that make a piece, best piece first; the pairs of one piece in order of their own scores."""
-    score = {p: s for p, s, kind in model.pieces if kind in (NORMAL, USER)}
+    score = {p: s for p, s, kind in model.pieces if kind in (NORMAL, UNUSED)}
     place = {p: i for i, (p, _, _) in enumerate(model.pieces)}
     ranked = []
     for piece, s in score.items():
@@ -104,42 +99,61 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(left, right) for *_, left, right in sorted(ranked)]
 
 
+def unmerged(model: Model, piece: str) -> list[str]:
+    """What an unused piece of a BPE model falls back to: the parts that its own last merge joined, these taken apart in turn if unused."""
+    kinds = {p: (s, kind) for p, s, kind in model.pieces if kind in (NORMAL, UNUSED)}
+    parts = list(piece)
+    while len(parts) > 2:
+        best = max(range(len(parts) - 1), key=lambda i: (kinds.get(parts[i] + parts[i + 1], (-np.inf,))[0], -i))
+        if parts[best] + parts[best + 1] not in kinds:
+            break
+        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    if len(parts) == 1:
+        return parts
+    return [x for p in parts for x in (unmerged(model, p) if kinds.get(p, (0, NORMAL))[1] == UNUSED else [p])]
+
+
 class Codec:
-    """One model, rebuilt on the tokenizers library. ``verify``: compare every new chunk with the sentencepiece library."""
+    """One model, rebuilt on the tokenizers library. ``verify``: compare every text with the sentencepiece library.
+
+    User-defined pieces are cut out of the text before the model runs. Unused pieces never come out: a unigram model
+    doesn't see them, and in a BPE model they only carry merges and are taken apart again. Where no piece goes on behind
+    a space marker that follows another character, texts are split before runs of the marker, so that the library can keep
+    its cache of words.
+    """
 
     def __init__(self, data: bytes, verify: bool = True):
-        from tokenizers import Tokenizer, models, normalizers
+        from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers, pre_tokenizers
 
         self.model = model = parse_model(data)
         if not model.escape_whitespaces:
             raise ValueError("models without the space marker are not supported")
         unknown = model.ids_of(UNKNOWN)[0]
-        vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
+        # texts hold no space once it is marked, so a piece written with one is never found
+        hidden = {UNKNOWN, CONTROL} | ({UNUSED} if model.model_type == UNIGRAM else set())
+        names = [f" {i}" if kind in hidden else p for i, (p, _, kind) in enumerate(model.pieces)]
         if model.model_type == UNIGRAM:
-            backend = models.Unigram([(p, s) for p, s, _ in model.pieces], unk_id=unknown, byte_fallback=model.byte_fallback)
+            worst = min((s for _, s, kind in model.pieces if kind == NORMAL), default=0.0) - 1_000
+            backend = models.Unigram([(n, worst if kind == BYTE else s) for n, (_, s, kind) in zip(names, model.pieces, strict=True)], unk_id=unknown, byte_fallback=model.byte_fallback)
         else:
-            backend = models.BPE(vocab=vocab, merges=merges(model), unk_token=model.pieces[unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback)
+            vocab = {n: i for i, n in enumerate(names)}
+            backend = models.BPE(vocab=vocab, merges=merges(model), unk_token=names[unknown], fuse_unk=True, byte_fallback=model.byte_fallback)
         self.tokenizer = Tokenizer(backend)
-        self.tokenizer.normalizer = normalizers.Replace(" ", MARK)
+        self.tokenizer.add_tokens([AddedToken(p, normalized=False) for p, _, kind in model.pieces if kind == USER])
+        if not any(kind in (NORMAL, UNUSED) and re.search(rf"[^{MARK}]{MARK}", p) for p, _, kind in model.pieces):
+            self.tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
         self.charsmap = normalizers.Precompiled(model.charsmap) if model.charsmap else None
-        self.bad: set[str] = set()
+        place = {p: i for i, (p, _, _) in enumerate(model.pieces)}
+        self.instead: dict[int, list[int]] = {}
+        if model.model_type == BPE:
+            self.instead = {i: [place.get(x, unknown) for x in unmerged(model, model.pieces[i][0])] for i in model.ids_of(UNUSED)}
         self.peer = None
         if verify:
             import sentencepiece
 
             self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
-        over = any(kind in (NORMAL, USER) and re.search(rf"[^{MARK}]{MARK}", p) for p, _, kind in model.pieces)
-        self.encoder = ChunkEncoder(self._encode, "<u4", whole=lambda _: over, odd=_RUN, table_chunks=TABLE_CHUNKS)
         self.parts = [self._bytes(p, kind) for p, _, kind in model.pieces]
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        out = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        if self.peer is not None and self.model.add_dummy_prefix:
-            # the library puts the first space before each of them itself; a single space can't be asked for
-            own = self.peer.encode([c[1:] for c in chunks], num_threads=1)
-            self.bad.update(c for c, a, b in zip(chunks, out, own, strict=True) if a != b and c.strip(" ") and c[0] == " ")
-        return [np.array(x, "<u4").tobytes() for x in out]
-
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
         if kind == BYTE:
@@ -150,16 +164,19 @@ class Codec:
         if self.charsmap is not None:
             text = self.charsmap.normalize_str(text)
         if self.model.remove_extra_whitespaces:
-            text = re.sub(" +", " ", text.strip(" "))
+            text = re.sub(" +", " ", text.lstrip(" ").rstrip(f" {MARK}"))  # at the end the marker counts as a space
         return " " + text if text and self.model.add_dummy_prefix else text
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
-        """Ids of each text, and whether the sentencepiece library agrees on every chunk of it."""
-        ready = [self.normalise(t).replace(MARK, " ") for t in texts]
-        ids = self.encoder.encode(ready)
-        if not self.bad:
-            return ids, [True] * len(texts)
-        return ids, [t not in self.bad and self.bad.isdisjoint(" " + c for c in t.split(" ")[1:]) for t in ready]
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool | None]]:
+        """Ids of each text, and whether the sentencepiece library gives the same (null where it wasn't asked)."""
+        ready = [self.normalise(t).replace(" ", MARK) for t in texts]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(ready, add_special_tokens=False)]
+        if self.instead:
+            ids = [[y for x in some for y in self.instead.get(x, (x,))] for some in ids]
+        same: list[bool | None] = [None] * len(texts)
+        if self.peer is not None:
+            same = [a == b for a, b in zip(ids, self.peer.encode(texts, num_threads=1), strict=True)]
+        return [np.array(x, "<u4") for x in ids], same
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.parts.__getitem__, ids.tolist()))
@@ -168,7 +185,7 @@ class Codec:
         return text.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)  # a Python worker keeps it, and its cache, from task to task
+@lru_cache(maxsize=2)  # a Python worker keeps it from task to task
 def load_codec(data: bytes) -> Codec:
     return Codec(data)
 
@@ -177,7 +194,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     """(id, n_tokens, ids_crc32, decoded_sha256, round_trip, parity) and, if asked for, ids of each row of ``docs``.
 
     ``decoded_sha256`` is that of the text decoded from the ids, ``round_trip`` whether it is the text as the model
-    normalises it, ``parity`` whether the sentencepiece library agrees. A null text counts as empty and has no ids.
+    normalises it, ``parity`` whether the sentencepiece library gives the same ids for the whole text. A null text counts as empty and has no ids.
     Repeated rows each get a row; an empty table gives none. Other columns aren't read. The model file (some 0.5 MB) is
     read by the driver and sent along.
     """
@@ -191,7 +208,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     def run(batches):
         codec = load_codec(sent.value)
         for batch in batches:
-            for some in slices(batch, 1, BATCH_BYTES):
+            for some in slices(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 ids, same = codec.encode(texts)
                 back = [codec.decode(x) for x in ids]

@@ -7,12 +7,11 @@ starts in parallel lanes through a table of ``2**MAX_BITS`` entries.
 
 Files: a folder with two Parquet tables. ``code``: (id, length) of the canonical code. ``blocks``: (part, block, start,
 doc_ids, n_tokens, payload, checkpoints); start counts the ids of all documents before the block, the arrays are
-little-endian (int64, int64, uint32), the payload is a bit string, first bit highest.
+little-endian (int64, int64, uint64), the payload is a bit string, first bit highest.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,8 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkEncoder, slices
-from .common import work_path
+from .common import remove, tasks_for, work_path
+from .sketch import text_bytes
+from .text_batches import slices
 
 MAX_BITS = 20
 CHECKPOINT = 256
@@ -84,7 +84,7 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     high = np.bincount(word, weights=(value >> np.uint64(32)).astype(np.float64), minlength=size)
     low = np.bincount(word + 1, weights=(value & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=size)
     words = (high[:size] + low[:size]).astype(">u4")
-    return words.tobytes()[: (total + 7) // 8], starts[::CHECKPOINT].astype("<u4").tobytes()
+    return words.tobytes()[: (total + 7) // 8], starts[::CHECKPOINT].astype("<u8").tobytes()
 
 
 def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +102,7 @@ def unpack(payload: bytes, checkpoints: bytes, n: int, table) -> np.ndarray:
     symbol, length = table
     raw = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.uint32)
     ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-    at = np.frombuffer(checkpoints, "<u4").astype(np.int64)
+    at = np.frombuffer(checkpoints, "<u8").astype(np.int64)
     lanes = np.zeros((CHECKPOINT, len(at)), np.uint32)
     last = len(ahead) - 1
     for k in range(CHECKPOINT if len(at) > 1 else n):
@@ -114,79 +114,25 @@ def unpack(payload: bytes, checkpoints: bytes, n: int, table) -> np.ndarray:
 
 # ---- the jobs
 
-class ByteLevelBatch:
-    """Encodes many short chunks, most of them a space and a word, perhaps with a full stop, comma or new line behind.
-
-    Such chunks fall into words, stops and line breaks, which the pre-tokenizer always keeps apart. New words are encoded
-    many at a time as one text and told apart by the mark of a leading space (or, at a line's start, by the line breaks).
-    """
-
-    SHAPE = re.compile(r" [^\W_]+[.,]?(?:\n[^\W_]+[.,]?)*").fullmatch
-    PARTS = re.compile(r"[^\W_]+|[.,\n]").findall
-
-    def __init__(self, tokenizer, dtype):
-        self.tokenizer, self.dtype = tokenizer, dtype
-        self.marks = np.zeros(tokenizer.get_vocab_size(), bool)
-        for token, i in tokenizer.get_vocab().items():
-            self.marks[i] = token.startswith("\u0120")  # how the byte-level alphabet writes a space
-        self.signs = dict(zip(".,\n", self._plain([".", ",", "\n"]), strict=True))
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _joined(self, words: list[str], lead: str) -> list[bytes]:
-        """Each word's ids behind ``lead`` (a space, which is part of them, or a line break, which isn't)."""
-        out: list[bytes] = []
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            own = lead == "\n"
-            starts = np.flatnonzero(ids == np.frombuffer(self.signs["\n"], self.dtype)[0] if own else self.marks[ids])
-            if len(starts) != len(some):  # not expected; one by one then
-                out += self._plain([w if own else lead + w for w in some])
-                continue
-            data, size = ids.tobytes(), self.dtype.itemsize
-            ends = [*starts[1:].tolist(), len(ids)]
-            out += [data[(a + own) * size : b * size] for a, b in zip(starts.tolist(), ends, strict=True)]
-        return out
-
-    def __call__(self, chunks: list[str]) -> list[bytes]:
-        known, signs = {}, self.signs
-        # a word, a word with a sign behind it, several words over line breaks, or anything else
-        ends = [c[-1:] if c[-1:] in signs else "" for c in chunks]
-        stems = [c[: len(c) - len(e)] for c, e in zip(chunks, ends, strict=True)]
-        plain = [s[:1] == " " and s[1:].isalnum() and e != "\n" for s, e in zip(stems, ends, strict=True)]
-        rest = [c for c, p in zip(chunks, plain, strict=True) if not p]
-        parts = [self.PARTS(c) if self.SHAPE(c) else None for c in rest]
-        first = {s for s, p in zip(stems, plain, strict=True) if p}
-        first.update(" " + p[0] for p in parts if p)
-        later = {"\n" + w for p in parts if p for w in p[1:] if w not in signs}
-        for lead, words in ((" ", first), ("\n", later)):
-            new = list(words)
-            known.update(zip(new, self._joined([w[1:] for w in new], lead), strict=True))
-        odd = iter(self._plain([c for c, p in zip(rest, parts, strict=True) if not p]))
-        behind = lambda w: signs.get(w) or known["\n" + w]
-        other = iter([known[" " + p[0]] + b"".join(map(behind, p[1:])) if p else next(odd) for p in parts])
-        closing = signs | {"": b""}
-        return [known[s] + closing[e] if p else next(other) for s, e, p in zip(stems, ends, plain, strict=True)]
-
-
-@lru_cache(maxsize=2)  # a Python worker keeps it, and its cache, from task to task
-def load_tokenizer(path: str, end_id: int) -> tuple[ChunkEncoder, np.dtype]:
-    """A byte-level BPE tokenizer: its pre-tokenizer splits before a space that a non-space follows, and encodes each piece alone."""
+@lru_cache(maxsize=2)  # a Python worker keeps it from task to task
+def load_tokenizer(path: str, end_id: int):
+    """The tokenizers library's tokenizer, and the type that holds its ids."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    dtype = np.dtype("<u2") if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
-    return ChunkEncoder(ByteLevelBatch(tokenizer, dtype), dtype, whole=lambda t: any(s in t for s in special)), dtype
+    return tokenizer, np.dtype("<u2") if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
+
+
+def encode(tokenizer, texts: list[str], dtype: np.dtype) -> list[np.ndarray]:
+    """Ids of whole texts, by the library and its threads."""
+    return [np.array(e.ids, dtype) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(part, block, start, doc_ids, n_tokens, ids): blocks of whole documents in ascending (id, text), nulls last; start within the part."""
+    """(part, block, start, doc_ids, n_tokens, ids): blocks of whole documents by ascending id, nulls last, rows of one id by a hash of their texts; start within the part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, dtype = load_tokenizer(tokenizer_path, end_id)
+        tokenizer, dtype = load_tokenizer(tokenizer_path, end_id)
         part, block, start = TaskContext.get().partitionId(), 0, 0
         held, sizes, names, valid, total = [], [], [], [], 0
         end = np.array([end_id], dtype)
@@ -204,7 +150,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
         for batch in batches:
             for some in slices(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
-                for name, ids in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
+                for name, ids in zip(some.column(0).to_pylist(), encode(tokenizer, texts, dtype), strict=True):
                     held += [ids.tobytes(), end.tobytes()]
                     sizes.append(len(ids) + 1)
                     names.append(name or 0)
@@ -220,9 +166,10 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
     blocks_schema = pa.schema(
         [("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("total", pa.int64()), ("doc_ids", pa.binary()), ("has_id", pa.binary()), ("n_tokens", pa.binary()), ("ids", pa.binary()), ("wide", pa.bool_())]
     )
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    ordered = ordered.repartitionByRange(n, F.col("__id").asc_nulls_last()).sortWithinPartitions(F.col("__id").asc_nulls_last(), "__text")
+    ordered = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).withColumn("__hash", F.xxhash64("__text"))
+    by = [F.col("__id").asc_nulls_last(), F.col("__hash"), F.col("__text")]
+    # ranges by id and hash, so that rows of one id, or without any, don't all fall into one
+    ordered = ordered.repartitionByRange(tasks_for(docs.sparkSession, text_bytes(docs, text_col)), *by[:2]).sortWithinPartitions(*by).drop("__hash")
     return ordered.mapInArrow(run, "part int, block int, start long, total long, doc_ids binary, has_id binary, n_tokens binary, ids binary, wide boolean")
 
 
@@ -249,8 +196,8 @@ def count_ids(blocks: DataFrame) -> DataFrame:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes the ids of every row of ``docs``, each followed by ``end_id``, to ``path``.
 
-    A null or empty text has the end id alone. A null document id comes last, equal ids in order of their texts, and
-    repeated rows one after the other. An empty table makes empty files. Other columns aren't read.
+    Whole texts are encoded by the tokenizers library. A null or empty text has the end id alone. A null document id comes
+    last, equal ids in order of a hash of their texts, and repeated rows one after the other. An empty table makes empty files. Other columns aren't read.
     """
     spark = docs.sparkSession
     plain = work_path(spark, "ids")
@@ -280,14 +227,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     remove(spark, plain)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a table that this module has written to the shared folder."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) and, if asked for, ids of every document in the files."""
+    """(doc_id, start, n_tokens, ids_crc32) and, if asked for, ids of every document in the files.
+
+    A row for each row that was written: null ids stay null, null and empty texts have the end id, repeated rows and ids
+    come as often as they were written. Files of an empty table give no rows.
+    """
     rows = spark.read.parquet(f"{path}/code").collect()  # at most one row for each id of the vocabulary
     lengths = np.zeros(max((r.id for r in rows), default=0) + 1, np.uint8)
     for r in rows:
