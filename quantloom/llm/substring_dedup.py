@@ -1,9 +1,10 @@
 """Substring dedup of word windows with a count-min prefilter.
 
 First pass: every task sketches the hashes of its windows, the sketches are merged, and the merged one overestimates how
-often each window occurs. Second pass: only windows estimated to occur twice or more are grouped exactly, by 96 bits of
-hash; the sketch loses none. Before the shuffle every block of a task settles what it can by itself: of equal windows in
-one block only those of the smallest document go on, so a window that fills a third of all rows sends a row per block.
+often each window occurs. Second pass: only windows estimated to occur twice or more are grouped exactly, by a 128-bit
+digest of their words; the sketch loses none. Before the shuffle every block of a task settles what it can by itself: of
+equal windows in one block only those of the smallest document go on, all in one row, so a window that fills a third of all
+rows sends a row per block.
 """
 
 from __future__ import annotations
@@ -25,15 +26,14 @@ WINDOW = 13
 BLOCK_BYTES = 16 << 20
 
 
-def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts one after the other, and each text's number of words."""
-    digest = xxhash.xxh64_intdigest
-    parts, sizes = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = (text or "").encode().split()  # bytes: only the six ASCII blanks split
-        sizes[i] = len(words)
-        parts.append(np.fromiter(map(digest, words), np.uint64, len(words)))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), sizes
+def split_words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts one after the other, and each text's number of words."""
+    parts = [(text or "").encode().split() for text in texts]  # bytes: only the six ASCII blanks split
+    return [w for part in parts for w in part], np.fromiter(map(len, parts), np.int64, len(parts))
+
+
+def hash_words(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def window_hashes(words: np.ndarray, n: int, factor: int) -> np.ndarray:
@@ -58,18 +58,24 @@ def window_hashes(words: np.ndarray, n: int, factor: int) -> np.ndarray:
     return sketch.mix(out)
 
 
-def windows(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first hash, second hash, text index, start) of all windows that lie in one text."""
-    words, sizes = hash_words(texts)
+def windows(words: list[bytes], sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text index, place of the first word) of all windows that lie in one text; equal windows have equal hashes."""
     if len(words) < n:
-        none = np.zeros(0, np.uint64)
-        return none, none, none.astype(np.int64), none.astype(np.int64)
-    h1, h2 = window_hashes(words, n, 0x9FB21C651E98DF25), window_hashes(words, n, 0xD1342543DE82EF95)
-    ends = sizes.cumsum()
-    text = np.repeat(np.arange(len(texts)), sizes)[: len(h1)]
-    at = np.arange(len(h1))
-    inside = at + n <= ends[text]
-    return h1[inside], h2[inside], text[inside], (at - (ends - sizes)[text])[inside]
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none
+    h = window_hashes(hash_words(words), n, 0x9FB21C651E98DF25)
+    text = np.repeat(np.arange(len(sizes)), sizes)[: len(h)]
+    inside = np.arange(len(h)) + n <= sizes.cumsum()[text]
+    return h[inside], text[inside], np.flatnonzero(inside)
+
+
+def digests(words: list[bytes], places: np.ndarray, n: int) -> np.ndarray:
+    """128-bit digests of the words of the windows at ``places``, as two columns."""
+    joined = b" ".join(words)
+    ends = (np.fromiter(map(len, words), np.int64, len(words)) + 1).cumsum() - 1
+    begins, stops = np.concatenate([[0], ends[:-1] + 1])[places], ends[places + n - 1]
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]), "<i8").reshape(-1, 2)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -101,38 +107,69 @@ def _block(held: list[pa.RecordBatch]):
     return table.column("did").to_numpy(), table.column("k").to_numpy(), table.column("text").to_pylist()
 
 
+def candidate_rows(did: np.ndarray, k: np.ndarray, texts: list[str | None], n: int, reached) -> Iterator[pa.RecordBatch]:
+    """Rows (h1, h2, did, place, more) of one block; a place is the row's k and a start, ``more`` those besides the first.
+
+    One row for each window that ``reached(hashes)`` lets through, with its places in the smallest document of the block.
+    Places in other documents are settled here: a row without a digest for each of those documents.
+    """
+    words, sizes = split_words(texts)
+    h, text, at = windows(words, sizes, n)
+    some = reached(h)
+    text, at = text[some], at[some]
+    if not len(at):
+        return
+    h1, h2 = digests(words, at, n).T
+    del words
+    order = did[text]
+    place = (k[text].astype(np.int64) << 32) | (at - (sizes.cumsum() - sizes)[text])
+    by = np.lexsort((place, order, h2, h1))
+    h1, h2, text, place, order = h1[by], h2[by], text[by], place[by], order[by]
+    new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+    settled = order > order[np.flatnonzero(new)[new.cumsum() - 1]]  # a smaller document in this very block
+
+    def rows(chosen, head, with_digest):
+        begin = np.flatnonzero(head)
+        many = np.diff(begin, append=len(chosen))
+        more, sizes = np.delete(chosen, begin), many - 1
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], sizes.cumsum()]).astype(np.int32)), pa.array(place[more]), mask=pa.array(sizes == 0))
+        first = chosen[begin]
+        hashes = [pa.array(x[first]) if with_digest else pa.nulls(len(first), pa.int64()) for x in (h1, h2)]
+        return pa.RecordBatch.from_arrays([*hashes, pa.array(order[first]), pa.array(place[first]), lists], names=["h1", "h2", "did", "place", "more"])
+
+    left = np.flatnonzero(~settled)
+    yield rows(left, new[left], True)  # the first of equal windows is never settled
+    gone = np.flatnonzero(settled)
+    if len(gone):
+        gone = gone[np.argsort(text[gone], kind="stable")]
+        yield rows(gone, np.diff(text[gone], prepend=-1) != 0, False)
+
+
 def repeated_windows(docs: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(did, k, starts): of every document, the starts of windows that also start in a document with a smaller id."""
     rows = keyed(docs, id_col, text_col)
     width = sketch.width_for(sketch.text_bytes(docs, text_col) / 8)
-    (twice,) = sketch.merged_sketch(rows.select("text"), lambda batches: (windows(b.slice(i, 256).column(0).to_pylist(), n)[0] for b in batches for i in range(0, b.num_rows, 256)), width, (2,))
+
+    def hashes(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                yield windows(*split_words(batch.slice(at, 256).column(0).to_pylist()), n)[0]
+
+    (twice,) = sketch.merged_sketch(rows.select("text"), hashes, width, (2,))
     sent = docs.sparkSession.sparkContext.broadcast(twice)  # bounded by the sketch's MAX_WIDTH
 
     def candidates(batches):
         for did, k, texts in blocks(batches):
-            h1, h2, text, start = windows(texts, n)
-            some = sketch.reached(sent.value, h1, width)
-            h1, h2, text, start = h1[some], (h2[some] >> np.uint64(32)).astype(np.uint32), text[some], start[some]
-            if not len(h1):
-                continue
-            order = did[text]
-            by = np.lexsort((order, h2, h1))
-            h1, h2, text, start, order = h1[by], h2[by], text[by], start[by], order[by]
-            new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-            least = order[np.flatnonzero(new)[new.cumsum() - 1]]
-            settled = order > least  # a smaller document in this very block
-            place = (k[text].astype(np.int64) << 32) | start
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h1.view(np.int64), mask=settled), pa.array(h2.view(np.int32), mask=settled), pa.array(order), pa.array(place)], names=["h1", "h2", "did", "place"]
-            )
-
-    found = rows.mapInArrow(candidates, "h1 long, h2 int, did long, place long")
-    # one pass over the candidates: what is settled has no hash, is spread by its place and comes out as it went in
+            yield from candidate_rows(did, k, texts, n, lambda h: sketch.reached(sent.value, h, width))
+
+    found = rows.mapInArrow(candidates, "h1 long, h2 long, did long, place long, more array<long>")
+    # one pass over the candidates, a row of each window for each block at most; what is settled is spread by its place
     spread = F.when(F.col("h1").isNull(), F.xxhash64("did", "place"))
     same = Window.partitionBy("h1", "h2", spread)
     later = found.withColumn("least", F.min("did").over(same)).filter(F.col("h1").isNull() | (F.col("did") > F.col("least")))
+    places = later.select("did", F.explode(F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<long>")))).alias("place"))
     return (
-        later.select("did", F.shiftright("place", 32).cast("int").alias("k"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int").alias("start"))
+        places.select("did", F.shiftright("place", 32).cast("int").alias("k"), F.col("place").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int").alias("start"))
         .groupBy("did", "k")
         .agg(F.collect_list("start").alias("starts"))
     )

@@ -64,6 +64,39 @@ def test_windows_with_small_blocks(docs, rows, monkeypatch):
     assert got == brute_windows(rows, 13)
 
 
+def test_windows_whose_hashes_all_collide_are_still_told_apart(docs, rows, monkeypatch):
+    """Grouping is by a digest of the words, whatever the hashes of the sketch are."""
+    real = substring_dedup.windows
+    def collide(words, sizes, n):
+        h, text, at = real(words, sizes, n)
+        return np.zeros_like(h), text, at
+
+    did, texts = np.array([order(i) for i, _ in rows]), [t for _, t in rows]
+    batches = []
+    monkeypatch.setattr(substring_dedup, "windows", collide)
+    for batch in substring_dedup.candidate_rows(did, np.arange(len(texts), dtype=np.int32), texts, 4, lambda h: np.ones(len(h), bool)):
+        batches += batch.to_pylist()
+    gone = {(p >> 32, p & 0xFFFFFFFF) for b in batches if b["h1"] is None for p in [b["place"], *(b["more"] or [])]}
+    first, want = {}, set()
+    for i, t in rows:
+        w = WORD.findall(t or "")
+        for a in range(len(w) - 3):
+            first[tuple(w[a : a + 4])] = min(first.get(tuple(w[a : a + 4]), LAST), order(i))
+    for x, (i, t) in enumerate(rows):
+        w = WORD.findall(t or "")
+        want |= {(x, a) for a in range(len(w) - 3) if first[tuple(w[a : a + 4])] < order(i)}
+    assert gone == want and want
+
+
+def test_a_million_equal_words_are_one_row(spark):
+    text = "la " * 1_000_000
+    (batch,) = substring_dedup.candidate_rows(np.array([4]), np.array([1], np.int32), [text], 13, lambda h: np.ones(len(h), bool))
+    assert batch.num_rows == 1 and len(batch.column("more")[0]) == 999_987
+    docs = spark.createDataFrame([(1, "la " * 20), (2, text), (3, None), (4, "")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.dedup_windows(docs, with_text=False).collect()}
+    assert got == {1: (20, 0), 2: (1_000_000, 1_000_000), 3: (0, 0), 4: (0, 0)}
+
+
 def test_windows_of_no_documents(no_docs):
     assert substring_dedup.dedup_windows(no_docs).count() == 0
 
