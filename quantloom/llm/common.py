@@ -88,10 +88,5 @@ def clean_up(spark: SparkSession) -> None:
         remove(spark, _WRITTEN.pop())
 
 
-def fits_broadcast(df: DataFrame, most_rows: int) -> bool:
-    """Whether there are at most so many rows; stops counting beyond."""
-    return df.limit(most_rows + 1).count() <= most_rows
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

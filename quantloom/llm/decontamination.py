@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fits_broadcast, let, words
+from .common import ascii_lower, let, stored, words
 
 #: Separators: every ASCII character but digits and lower-case letters (texts are lower-cased first).
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The set of test n-grams is broadcast up to so many windows (some 100 MB at most), and joined by shuffle beyond.
+#: Test n-grams that are broadcast at a time (some 100 MB at most); a larger set is probed slice by slice, a scan each.
 BROADCAST_WINDOWS = 1_000_000
+#: Hits (some 300 bytes each) that are broadcast to the documents they belong to; more go by the shuffle.
+BROADCAST_HITS = 200_000
 
 
 def normal_words(text: Column) -> Column:
@@ -49,26 +51,30 @@ def contaminated_words(docs: DataFrame, items: DataFrame, n: int = 10, id_col: s
     judged one by one. With no benchmark windows no document is hit. Other columns stay inside ``__doc``, so they
     can't clash.
     """
-    bench = benchmark_windows(items, n, item_id, item_text)
-    lengths = sorted(r.n for r in bench.select("n").distinct().collect())  # n values at most
+    bench = stored(benchmark_windows(items, n, item_id, item_text), "benchmark")
+    by_length = bench.groupBy("n").agg(F.count("*").alias("windows")).collect()  # n rows at most
+    lengths, total = sorted(r.n for r in by_length), sum(r.windows for r in by_length)
     # a row is known by id and text: equal rows have equal hits
     columns = [F.col(f"`{c}`") for c in docs.columns] if whole_rows else [F.col(id_col)]
     rows = docs.select(F.struct(*columns).alias("__doc"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).withColumn("__key", F.xxhash64("__text", "__id"))
-    tokenised = rows.select("__key", normal_words(F.col("__text")).alias("__w"))
     if not lengths:
         return rows.select("__doc", "__id", "__text", normal_words(F.col("__text")).alias("words"), F.array().cast("array<struct<p:int,n:int,items:array<bigint>>>").alias("hits"))
-    place = F.broadcast if fits_broadcast(bench, BROADCAST_WINDOWS) else (lambda df: df)
-    per_length = []
+    # hashes of all windows of all lengths in one scan
+    hashes = let(normal_words(F.col("__text")), lambda w: F.array(*[F.struct(F.lit(k).alias("n"), all_windows(k)(w).alias("h")) for k in lengths]))
+    scan = rows.select("__key", F.inline(hashes)).select("__key", "n", F.posexplode("h").alias("p", "h"))
+    pick = F.lit(None)
     for k in lengths:
-        hashes = let(F.col("__w"), all_windows(k))
-        test = bench.filter(F.col("n") == k).select(window_hash(F.col("window"), F.lit(1), k).alias("h"), "window", "items")
-        scan = tokenised.select("__key", F.posexplode(hashes).alias("p", "h"))
-        per_length.append(scan.join(place(test), "h").select("__key", (F.col("p") + 1).alias("p"), F.lit(k).alias("n"), "window", "items"))
-    found = per_length[0]
-    for more in per_length[1:]:
-        found = found.unionByName(more)
+        pick = F.coalesce(pick, F.when(F.col("n") == k, window_hash(F.col("window"), F.lit(1), k)))
+    test = bench.select("n", pick.alias("h"), "window", "items")
+    slices = -(-total // BROADCAST_WINDOWS)
+    found = None
+    for k in range(slices):
+        some = scan.join(F.broadcast(test.filter(F.pmod("h", F.lit(slices)) == k)), ["n", "h"]).select("__key", (F.col("p") + 1).alias("p"), "n", "window", "items")
+        found = some if found is None else found.unionByName(some)
     # one row for each row that was hit; at most a row's own windows times the (few) windows of one hash
-    found = found.groupBy("__key").agg(F.collect_set(F.struct("p", "n", "window", "items")).alias("__hits"))
+    found = stored(found.groupBy("__key").agg(F.collect_set(F.struct("p", "n", "window", "items")).alias("__hits")), "hits")
+    n_hits = found.agg(F.sum(F.size("__hits"))).first()[0] or 0
+    found = F.broadcast(found) if n_hits <= BROADCAST_HITS else found
     joined = rows.join(found, "__key", "left").withColumn("words", normal_words(F.col("__text")))
     verified = let(
         F.struct(F.col("words").alias("w"), F.coalesce("__hits", F.array()).alias("h")),
@@ -94,13 +100,20 @@ def covered(hits: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, most_hit_share: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose share of hit words is at most ``most_hit_share``; columns unchanged."""
+    """The rows of ``docs`` whose share of hit words is at most ``most_hit_share``; columns unchanged.
+
+    Null and empty texts have no words and stay. Repeated rows stay or go together; an empty table gives no rows, and an
+    empty benchmark leaves all.
+    """
     spans = contaminated_words(docs, items, n, id_col, text_col, whole_rows=True)
     return spans.filter(covered(F.col("hits")) <= F.lit(most_hit_share) * F.size("words")).select("__doc.*").select(*[f"`{c}`" for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text) with every hit word cut out: the words left, normalised, joined by one space."""
+    """(id, text) with every hit word cut out: the words left, normalised, joined by one space.
+
+    A text without a hit, null and empty ones too, stays as it is. Repeated rows stay repeated; an empty table gives none.
+    """
     spans = contaminated_words(docs, items, n, id_col, text_col)
     inside = lambda i: F.exists(F.col("hits"), lambda h: (i + 1 >= h["p"]) & (i + 1 < h["p"] + h["n"]))
     left = F.when(F.size("hits") == 0, F.col("words")).otherwise(F.filter("words", lambda w, i: ~inside(i)))
