@@ -1,7 +1,7 @@
 """Quality rules: a ledger of failure bits.
 
-Every rule is evaluated once per document; the ledger stores its bit and the measurements. Policies are versioned bit
-masks applied to the stored bits afterwards, and ablations (how many documents a policy would keep without one of its
+Every rule is evaluated once per document; ``write_ledger`` stores its bit and the measurements as a table. Policies are
+versioned bit masks applied to the stored bits afterwards, without the texts, and ablations (how many documents a policy would keep without one of its
 rules) are bitwise aggregates over the ledger. All of it is DataFrame functions.
 """
 
@@ -12,10 +12,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, words
+from .common import SPACE, ascii_lower, let, words
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
+#: Frequent small words of English, German, French and Spanish: running text has some of them.
+STOP_WORDS = (
+    "the", "be", "to", "of", "and", "that", "have", "with", "der", "die", "das", "und", "ist", "nicht",
+    "le", "la", "les", "de", "et", "est", "que", "el", "los", "en", "y", "es",
+)
+#: Lines that begin with a bullet, end with an ellipsis, end as sentences do.
+BULLET, ELLIPSIS, SENTENCE = r"^[ \t]*[-*\u2022]", r"(\.\.\.|\u2026)[\x20\x09-\x0D]*$", r"[.!?\x22\u201D\u00BB][\x20\x09-\x0D]*$"
 
 
 @dataclass(frozen=True)
@@ -34,13 +41,23 @@ RULES = (
     QualityRule("duplicate_lines", "10 * n_dup_lines > 5 * n_lines AND n_dup_lines >= 3"),
     QualityRule("short_words", "word_chars < 2 * n_words"),
     QualityRule("long_words", "word_chars > 20 * n_words"),
+    QualityRule("few_letters", "10 * n_letter_words < 7 * n_words"),
+    QualityRule("few_stop_words", "n_stop_words < 2"),
+    QualityRule("bullet_lines", "10 * n_bullet_lines > 9 * n_lines"),
+    QualityRule("ellipsis_lines", "10 * n_ellipsis_lines > 3 * n_lines AND n_ellipsis_lines >= 3"),
+    QualityRule("open_lines", "10 * n_sentence_lines < n_lines AND n_lines >= 5"),
 )
 BASE = ("few_words", "repeated_words")
 #: Versioned policies: the rules that each enforces.
 POLICIES = {
     "v1": BASE,
     "v2": (*BASE, "many_symbols", "duplicate_lines", "short_words", "long_words"),
+    "v3": tuple(r.name for r in RULES[:11]),
 }
+CURRENT = "v3"
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words", "n_stop_words", "n_bullet_lines", "n_ellipsis_lines", "n_sentence_lines",
+)
 
 
 def mask(names, rules=RULES) -> int:
@@ -73,32 +90,40 @@ def repeat_words(array: Column) -> Column:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines (lines with a word), all long."""
+    """The id with ``MEASURES``, all long. Lines are lines with a word; letter words have a letter of any script.
+
+    A null or empty text measures zero throughout. Repeated rows each get a row; an empty table gives none.
+    """
     text = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     lines = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    count = lambda array, holds: F.size(F.filter(array, holds))
     facts = let(
         words(F.col("__text"), SPACE),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words")),
+        lambda w: F.struct(
+            F.size(w).alias("n_words"),
+            repeat_words(w).alias("n_repeat_words"),
+            count(w, lambda x: x.rlike(r"\p{L}")).alias("n_letter_words"),
+            count(w, lambda x: ascii_lower(x).isin(*STOP_WORDS)).alias("n_stop_words"),
+        ),
     )
-    by_line = let(lines(F.col("__text")), lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).alias("d")))
-    return (
-        text.select(
-            id_col,
-            facts.alias("__w"),
-            by_line.alias("__l"),
-            F.length(F.translate("__text", BLANKS, "")).cast("long").alias("word_chars"),
-            (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        )
-        .select(
-            id_col,
-            F.col("__w.n_words").alias("n_words"),
-            "word_chars",
-            "n_symbols",
-            (F.col("__l.n") - F.col("__l.d")).alias("n_dup_lines"),
-            F.col("__w.n_repeat_words").alias("n_repeat_words"),
-            F.col("__l.n").alias("n_lines"),
-        )
+    by_line = let(
+        lines(F.col("__text")),
+        lambda x: F.struct(
+            F.size(x).alias("n_lines"),
+            (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
+            count(x, lambda y: y.rlike(BULLET)).alias("n_bullet_lines"),
+            count(x, lambda y: y.rlike(ELLIPSIS)).alias("n_ellipsis_lines"),
+            count(x, lambda y: y.rlike(SENTENCE)).alias("n_sentence_lines"),
+        ),
     )
+    measured = text.select(
+        F.col(id_col).alias("__id"),
+        facts.alias("__w"),
+        by_line.alias("__l"),
+        F.length(F.translate("__text", BLANKS, "")).alias("word_chars"),
+        (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).alias("n_symbols"),
+    ).select("__id", "__w.*", "__l.*", "word_chars", "n_symbols")
+    return measured.select(F.col("__id").alias(id_col), *[F.col(c).cast("long").alias(c) for c in MEASURES])
 
 
 def ledger(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,6 +138,12 @@ def ledger(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str =
     return measure(docs, id_col, text_col).withColumn("failed_bits", bits)
 
 
+def write_ledger(docs: DataFrame, path: str, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger of ``docs``, written to ``path`` as Parquet and read from there: policies and ablations don't see the texts again."""
+    ledger(docs, rules, id_col, text_col).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def apply_policy(book: DataFrame, names, rules=RULES) -> DataFrame:
     """The ledger with ``kept``: none of the policy's bits is set."""
     return book.withColumn("kept", F.col("failed_bits").bitwiseAND(F.lit(mask(names, rules)).cast("long")) == 0)
@@ -130,8 +161,12 @@ def ablations(book: DataFrame, policies=POLICIES, rules=RULES) -> DataFrame:
     return book.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def keep_quality(docs: DataFrame, names=POLICIES["v2"], rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, columns unchanged; bits are worked out in the same scan."""
+def keep_quality(docs: DataFrame, names=POLICIES[CURRENT], rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the policy keeps, columns unchanged; bits are worked out in the same scan.
+
+    Null and empty texts go if the policy has ``few_words``. Repeated rows stay or go together; an empty table gives none.
+    For several policies over the same documents write the ledger once and join its ids.
+    """
     columns = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__doc"))
     flat = packed.select("__doc", F.col(f"__doc.`{id_col}`").alias("__id"), F.col(f"__doc.`{text_col}`").alias("__body"))
