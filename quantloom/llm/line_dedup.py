@@ -22,7 +22,7 @@ def _lines(text: Column) -> Column:
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, key, removed): for each row that loses lines, their sorted positions from 0."""
     rows = docs.select(
-        F.coalesce(F.col(id_col), F.lit(LAST_ID)).alias("__order"), row_key(F.col(id_col), F.col(text_col)).alias("__key"), _lines(F.col(text_col)).alias("__lines")
+        F.coalesce(F.col(f"`{id_col}`"), F.lit(LAST_ID)).alias("__order"), row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("__key"), _lines(F.col(f"`{text_col}`")).alias("__lines")
     ).filter(F.size("__lines") >= WINDOW)
     # windows of blank lines only carry no content and are left alone
     digests = let(
@@ -48,30 +48,42 @@ def row_key(id_: Column, text: Column) -> Column:
     return F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit(""))))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``n_lines``, ``removed`` (sorted line positions) and ``kept_text``, as __n_lines, __removed, __kept.
-
-    A null or empty text is one empty line and has no window. Among rows with the same id and text only the occurrence
-    inside a document can be later; both rows get the same result. A null id is ordered after every other.
-    """
-    cut = removed_lines(docs, id_col, text_col).select(F.col("__key").alias("__cut_key"), F.col("removed").alias("__gone"))
-    joined = docs.join(cut, row_key(docs[id_col], docs[text_col]) == cut["__cut_key"], "left").drop("__cut_key")
-    lines = _lines(F.col(f"`{text_col}`"))
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, text, n_lines, removed, kept) of every row; the row itself is packed, so no column of it can clash."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("doc"), F.col(f"`{text_col}`").alias("text"), row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"))
+    cut = removed_lines(docs, id_col, text_col).select(F.col("__key").alias("cut_key"), F.col("removed").alias("gone"))
+    lines = _lines(F.col("text"))
     left = let(
-        F.struct(lines.alias("x"), F.coalesce("__gone", F.array()).alias("r")),
+        F.struct(lines.alias("x"), F.coalesce("gone", F.array()).alias("r")),
         lambda s: F.array_join(F.filter(s["x"], lambda _, i: ~F.array_contains(s["r"], i)), "\n"),
     )
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.size(lines).cast("long").alias("__n_lines"),
-        F.coalesce("__gone", F.array()).cast("array<int>").alias("__removed"),
-        F.when(F.col("__gone").isNull(), F.col(f"`{text_col}`")).otherwise(left).alias("__kept"),
+    return rows.join(cut, F.col("key") == F.col("cut_key"), "left").select(
+        "doc",
+        "text",
+        F.size(lines).cast("long").alias("n_lines"),
+        F.coalesce("gone", F.array()).cast("array<int>").alias("removed"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("kept"),
     )
 
 
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with their number of lines, the sorted positions of removed ones and the text left, as __n_lines, __removed, __kept.
+
+    A null or empty text is one empty line and has no window. Among rows with the same id and text only the occurrence
+    inside a document can be later; both rows get the same result. A null id is ordered after every other. An empty table
+    gives no rows. Columns of ``docs`` with one of the three names are replaced.
+    """
+    added = {"__n_lines": "n_lines", "__removed": "removed", "__kept": "kept"}
+    own = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in added]
+    return _judged(docs, id_col, text_col).select(*own, *[F.col(c).alias(name) for name, c in added.items()])
+
+
 def replace_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """The rows of ``docs`` with the text left by dedup_lines, and its length in ``chars_col`` if there is such a column; other columns unchanged."""
-    done = dedup_lines(docs, id_col, text_col)
-    changed = F.size("__removed") > 0
-    now = {text_col: F.col("__kept"), chars_col: F.when(changed, F.length("__kept").cast("long")).otherwise(F.col(f"`{chars_col}`")) if chars_col in docs.columns else None}
-    return done.select(*[(now.get(c) if now.get(c) is not None else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    """The rows of ``docs`` with the text left by dedup_lines, and its length in ``chars_col`` if there is such a column; other columns unchanged.
+
+    Null and short texts stay as they are, repeated rows stay repeated, an empty table gives no rows.
+    """
+    changed = F.size("removed") > 0
+    now = {text_col: F.col("kept"), chars_col: F.when(changed, F.length("kept").cast("long")).otherwise(F.col(f"doc.`{chars_col}`"))}
+    return _judged(docs, id_col, text_col).select(*[now.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])

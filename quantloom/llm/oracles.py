@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .url_filters import JUNK
+
 OP1 = r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 win AS (
@@ -79,7 +81,7 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(every) AS turns_sha25
 FROM g
 """
 
-OP7 = r"""
+LEDGER = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -94,13 +96,38 @@ m AS (
   SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines
-  FROM w LEFT JOIN rep USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 5 * n_symbols > n_words OR (10 * n_dup_lines > 5 * n_lines AND n_dup_lines >= 3)
-            OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
-FROM m
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+         len(list_filter(w, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') IN (
+           'the', 'be', 'to', 'of', 'and', 'that', 'have', 'with', 'der', 'die', 'das', 'und', 'ist', 'nicht',
+           'le', 'la', 'les', 'de', 'et', 'est', 'que', 'el', 'los', 'en', 'y', 'es'))) AS n_stop_words,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[ \t]*[-*\x{2022}]'))) AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '[.!?\x22\x{201D}\x{00BB}][\x20\x09-\x0D]*$'))) AS n_sentence_lines
+  FROM w LEFT JOIN rep USING (doc_id)),
+b AS (
+  SELECT *, CAST(CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+         + CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 5 * n_lines AND n_dup_lines >= 3 THEN 8 ELSE 0 END
+         + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
+         + CASE WHEN 10 * n_letter_words < 7 * n_words THEN 64 ELSE 0 END + CASE WHEN n_stop_words < 2 THEN 128 ELSE 0 END
+         + CASE WHEN 10 * n_bullet_lines > 9 * n_lines THEN 256 ELSE 0 END
+         + CASE WHEN 10 * n_ellipsis_lines > 3 * n_lines AND n_ellipsis_lines >= 3 THEN 512 ELSE 0 END
+         + CASE WHEN 10 * n_sentence_lines < n_lines AND n_lines >= 5 THEN 1024 ELSE 0 END AS BIGINT) AS failed_bits
+  FROM m)
+"""
+
+OP7 = LEDGER + r"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
+"""
+
+ABLATIONS = LEDGER + r""",
+rules(i, name) AS (VALUES (0, 'few_words'), (1, 'repeated_words'), (2, 'many_symbols'), (3, 'duplicate_lines'), (4, 'short_words'), (5, 'long_words'),
+  (6, 'few_letters'), (7, 'few_stop_words'), (8, 'bullet_lines'), (9, 'ellipsis_lines'), (10, 'open_lines')),
+policies(policy, size) AS (VALUES ('v1', 2), ('v2', 6), ('v3', 11)),
+masks AS (
+  SELECT policy, name AS without, CAST(2 ** size - 1 - 2 ** i AS BIGINT) AS mask FROM policies JOIN rules ON i < size
+  UNION ALL SELECT policy, NULL, CAST(2 ** size - 1 AS BIGINT) FROM policies)
+SELECT policy, without, CAST((SELECT count(*) FROM b WHERE failed_bits & mask = 0) AS BIGINT) AS n_kept FROM masks
 """
 
 OP9 = r"""
@@ -116,9 +143,9 @@ best AS (
          row_number() OVER (PARTITION BY h.page_id, h.host, h.path ORDER BY length(r.host || r.path) DESC) AS k
   FROM h LEFT JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path))
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN regexp_matches(host || path, '(?i)(?:^|[^a-z0-9])(spam[^a-z0-9]+farm|free[^a-z0-9]+casino|adult[^a-z0-9]+cam|link[^a-z0-9]+farm|click[^a-z0-9]+bait)(?:[^a-z0-9]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(verdict, CASE WHEN regexp_matches(host || path, '(?i)(?:^|[^a-z0-9])(JUNK)(?:[^a-z0-9]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM best WHERE k = 1
-"""
+""".replace("JUNK", "|".join(f"({a})[^a-z0-9]+({b})" for x, y in JUNK for a, b in ((x.replace(" ", "|"), y.replace(" ", "|")), (y.replace(" ", "|"), x.replace(" ", "|")))))
 
 OP10 = r"""
 WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, text FROM documents),
@@ -140,6 +167,7 @@ ORACLES = {
     "op5_decontamination": OP5,
     "op6_chat_formatting": OP6,
     "op7_quality_rules": OP7,
+    "quality_ablations": ABLATIONS,
     "op9_url_filters": OP9,
     "op10_line_dedup": OP10,
 }

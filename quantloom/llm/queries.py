@@ -79,9 +79,9 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality_rules.ledger(read(spark, sf_dir, "documents"))
+    book = quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger"))
     base = quality_rules.mask(quality_rules.BASE)
-    return quality_rules.apply_policy(book, quality_rules.POLICIES["v2"]).select(
+    return quality_rules.apply_policy(book, quality_rules.POLICIES[quality_rules.CURRENT]).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -90,9 +90,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words",
         (F.col("failed_bits").bitwiseAND(F.lit(base).cast("long")) != 0).alias("base_failed"),
         "kept",
+        "failed_bits",
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablations(quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger")))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -121,6 +126,7 @@ def queries() -> dict:
         "op5_decontamination": op5_decontamination,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_quality_rules": op7_quality_rules,
+        "quality_ablations": quality_ablations,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_url_filters": op9_url_filters,
         "op10_line_dedup": op10_line_dedup,

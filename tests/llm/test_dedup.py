@@ -414,3 +414,13 @@ def test_lines_match_brute_force(docs, rows):
 def test_replaced_texts_keep_columns(docs, no_docs):
     assert line_dedup.replace_texts(docs).columns == docs.columns
     assert line_dedup.replace_texts(no_docs).count() == 0
+
+
+def test_columns_named_like_the_results_do_no_harm(spark):
+    text = "one\ntwo\nthree\nfour"
+    data = [(1, text, "k", 5, "r", 3, "g"), (2, text + "\nfive", "k", 6, "r", 3, "g"), (None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, __kept string, __n_lines long, __removed string, n_chars long, doc string")
+    kept = line_dedup.replace_texts(docs)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter([data[0], (2, "five", "k", 6, "r", 4, "g"), data[2]])
+    assert {r.doc_id: list(r["__removed"]) for r in line_dedup.dedup_lines(docs).collect()} == {1: [], 2: [0, 1, 2, 3], None: []}

@@ -1,6 +1,5 @@
 """Rules, formatting, decontamination and url filters against brute force."""
 
-import hashlib
 import re
 from collections import Counter
 
@@ -8,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantloom.llm import chat_formatting, decontamination, quality_rules, url_filters
+from quantloom.llm.common import work_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NORMAL = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -25,12 +25,34 @@ def brute_measures(text):
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
     repeated = {i + k for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for k in range(3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
-    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated), len(lines)
+    letters, stops = sum(any(c.isalpha() for c in x) for x in w), sum(lower(x) in quality_rules.STOP_WORDS for x in w)
+    blanks = " \t\n\x0b\x0c\r"
+    bullets = sum(x.lstrip(" \t")[:1] in tuple("-*•") for x in lines)
+    ellipses, ends = sum(x.rstrip(blanks).endswith(("...", "…")) for x in lines), sum(x.rstrip(blanks).endswith(tuple('.!?"”»')) for x in lines)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated), len(lines), letters, stops, bullets, ellipses, ends
+
+
+def brute_keeps(text):
+    n, chars, symbols, dup, again, lines, letters, stops, bullets, ellipses, ends = brute_measures(text)
+    bad = n < 50 or 100 * again > 50 * n or 5 * symbols > n or (10 * dup > 5 * lines and dup >= 3) or chars < 2 * n or chars > 20 * n
+    bad = bad or 10 * letters < 7 * n or stops < 2 or 10 * bullets > 9 * lines
+    return not (bad or (10 * ellipses > 3 * lines and ellipses >= 3) or (10 * ends < lines and lines >= 5))
 
 
 def test_measures_match_brute_force(docs, rows):
-    got = quality_rules.ledger(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines").collect()
-    assert Counter(map(tuple, got)) == Counter((i, *brute_measures(t)) for i, t in rows)
+    more = [(900, "- a\n* b\n\t• c\n-d"), (901, "so...\nand…  \nend."), (902, "1 2 3 the THE Und"), (903, 'He said "x"\n«y»\nno end\r')]
+    frame = docs.select("doc_id", "text", "h").unionByName(docs.sparkSession.createDataFrame([(i, t, "h") for i, t in more], "doc_id long, text string, h string"))
+    got = quality_rules.ledger(frame).select("doc_id", *quality_rules.MEASURES).collect()
+    assert Counter(map(tuple, got)) == Counter((i, *brute_measures(t)) for i, t in [*rows, *more])
+
+
+def test_the_ledger_is_stored_once_for_all_policies(spark, docs, rows):
+    path = work_path(spark, "ledger")
+    book = quality_rules.write_ledger(docs, path)
+    assert spark.read.parquet(path).columns == ["doc_id", *quality_rules.MEASURES, "failed_bits"] == book.columns
+    assert all("documents" not in f for f in book.inputFiles()) and len(book.inputFiles()) > 0
+    kept = quality_rules.apply_policy(book, quality_rules.POLICIES["v3"])
+    assert Counter((r.doc_id, r.kept) for r in kept.collect()) == Counter((i, brute_keeps(t)) for i, t in rows)
 
 
 def test_policies_are_masks_over_the_ledger(docs, rows, no_docs):
@@ -39,12 +61,12 @@ def test_policies_are_masks_over_the_ledger(docs, rows, no_docs):
     bits = Counter((r.doc_id, r.failed_bits & few > 0, r.failed_bits & repeated > 0) for r in book.collect())
     want = Counter()
     for i, t in rows:
-        n, _, _, _, again, _ = brute_measures(t)
+        n, _, _, _, again, *_ = brute_measures(t)
         want[i, n < 50, 100 * again > 50 * n] += 1
     assert bits == want
     kept = quality_rules.keep_quality(docs)
     assert kept.columns == docs.columns
-    ids = Counter(r.doc_id for r in quality_rules.apply_policy(book, quality_rules.POLICIES["v2"]).filter("kept").collect())
+    ids = Counter(r.doc_id for r in quality_rules.apply_policy(book, quality_rules.POLICIES["v3"]).filter("kept").collect())
     assert Counter(r.doc_id for r in kept.collect()) == ids
     assert quality_rules.keep_quality(no_docs).count() == 0 and quality_rules.ledger(no_docs).count() == 0
 
@@ -59,8 +81,8 @@ def test_ablations_count_what_each_rule_costs(docs):
 
 
 def test_junk_goes_and_prose_stays(spark):
-    prose = " ".join(f"word{i}" for i in range(80))
-    texts = [prose, " ".join(f"word{i}###" for i in range(80)), " | ".join(f"w{i}" for i in range(80)), "one line again\n" * 40, "a " * 60]
+    prose = "the start of it " + " ".join(f"word{i}" for i in range(80))
+    texts = [prose, " ".join(f"word{i}###" for i in range(80)), " | ".join(f"w{i}" for i in range(80)), "one line again\n" * 40, "a " * 60, " ".join(f"word{i}" for i in range(80)), "the of " + "".join(f"{i} " for i in range(99)), "".join(f"- the of {i}a b{i} c{i} d{i} e{i}\n" for i in range(20)), "".join(f"the of {i}a b{i} c{i} d{i} e{i} ...\n" for i in range(20)), "".join(f"the of {i}a b{i} c{i} d{i} e{i}\n" for i in range(20))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r.doc_id for r in quality_rules.keep_quality(df).collect()] == [0]
 
@@ -87,7 +109,7 @@ def test_chats_come_back_identical(spark):
         turns.sort()
         assert [(t["role"], t["text"]) for t in back[c].turns] == [x[1:] for x in turns]
         assert back[c].loss_texts == [x[2] for x in turns if x[1] == "assistant"]
-        assert back[c].formatted.count("</s>") == len(turns)
+        assert back[c].formatted.count("</s>") == len(turns) and back[c].identical
     assert "[INST]" not in back[2].formatted
 
 
@@ -123,6 +145,13 @@ def brute_hits(text):
     return len(w), hit, items
 
 
+@pytest.mark.parametrize("role", ["user", "a\nb", "%0A", "<e>", ""])
+@pytest.mark.parametrize("text", ["", "</s>", "%3C/s>", "<s>user\nx</s>", "[INST]%5B", "%25%", "<", "%", "\n", "a</s><e>b"])
+def test_the_escaped_form_always_comes_back(spark, role, text):
+    row = spark.range(1).select(chat_formatting.parse(chat_formatting.render_turn(F.lit(role), F.lit(text), True)).alias("t")).first()
+    assert [(t["role"], t["text"]) for t in row.t] == [(role, text)]
+
+
 @pytest.fixture(scope="module")
 def leaky(spark, rows):
     more = [
@@ -166,10 +195,11 @@ def test_spans_are_cut_out(spark, leaky):
     assert got == want
 
 
-def test_large_benchmarks_are_joined_by_shuffle(spark, leaky, monkeypatch):
-    before = decontamination.decontaminate(leaky, bench(spark)).count()
-    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
-    assert decontamination.decontaminate(leaky, bench(spark)).count() == before
+def test_large_benchmarks_are_probed_in_slices(spark, leaky, monkeypatch):
+    before = Counter(map(tuple, decontamination.decontaminate(leaky, bench(spark)).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 2)
+    monkeypatch.setattr(decontamination, "BROADCAST_HITS", 0)
+    assert Counter(map(tuple, decontamination.decontaminate(leaky, bench(spark)).collect())) == before
 
 
 # ---- url filters
@@ -178,6 +208,7 @@ URLS = [
     None, "", "no scheme.org/x", "http://a.org", "http://a.org/", "HTTPS://Sub.Example.ORG/es/page", "http://example.org/en/12?x=/es/", "http://example.org/en/2",
     "http://notexample.org/es/", "x://example.com/fr/a", "x://example.com/de", "x://example.com/de/#f", "http://spam-farm.net/x", "http://my.spam.farm.example.net/", "http://spamfarm.net/",
     "http://host?q=://x.org/", "a://b://c.org/d", "http://EXAMPLE.com/FR/x", "http://x.org/spam-farm/", "ftp://müller.org/ü", "http://link-farm.de/", "http://x.net/Free_Casino",
+    "http://m.casino-win.example.net/a", "http://free-bets.example.net", "http://cheappills.example.net", "http://pills.cheap.example.net/", "http://a.net/adult/x", "http://casino.example.net/", "http://ads-track.net",
 ]
 
 
@@ -191,8 +222,9 @@ def brute_url(url):
     fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     if fits:
         return host, path, max(fits)[1], max(fits)[2]
-    spam = re.search(r"(?i)(?:^|[^a-z0-9])(spam[^a-z0-9]+farm|free[^a-z0-9]+casino|adult[^a-z0-9]+cam|link[^a-z0-9]+farm|click[^a-z0-9]+bait)(?:[^a-z0-9]|$)", host + path)
-    return host, path, None, "block" if spam else "allow"
+    t = re.split(r"[^a-z0-9]+", lower(host + path))
+    junk = any(((a in x.split() and b in y.split()) or (b in x.split() and a in y.split())) for a, b in zip(t, t[1:]) for x, y in url_filters.JUNK)
+    return host, path, None, "block" if junk else "allow"
 
 
 @pytest.fixture(scope="module")
@@ -214,10 +246,21 @@ def test_rules_are_indexed_by_their_rarest_token(spark, pages):
 
 
 def test_rules_without_tokens_and_equal_lengths_still_apply(pages):
-    rules = [url_filters.Rule("any", r"^$", (), "block", 5), url_filters.Rule("b", r"fr", ("fr",), "block", 5), url_filters.Rule("a", r"fr/a", ("fr",), "allow", 5)]
+    rules = [url_filters.Rule("any", r"^$", "block", 5), url_filters.Rule("b", r"/fr/", "block", 5), url_filters.Rule("a", r"/fr/a", "allow", 5)]
     got = {r.page_id: (r.rule, r.verdict) for r in url_filters.filter_urls(pages, rules, default="keep").collect()}
     assert got[0] == ("any", "block") and got[9] == ("b", "block") and got[7] == (None, "keep")
 
 
-def test_digest_of_no_items():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+def test_tokens_are_read_off_the_pattern():
+    u = url_filters
+    assert len(u.JUNK_RULES) > 300 and all(len(r.tokens) == 2 for r in u.JUNK_RULES)
+    assert [r.tokens for r in u.HOST_RULES] == [("org",), ("example", "org", "es"), ("example", "org", "en"), ("com", "fr"), ("com", "de")]
+    for pattern, tokens in [("^a|b$", ()), ("/news/[0-9]+/x", ("news",)), (r"(?i)/Ad/s?ense/", ("ad",)), (r"\.php/", ("php",)), ("abc", ()), (r"/a\db/c/", ("c",)), ("/ab*/cd{2}/", ()), ("/x(yz)?/w/", ("w",))]:
+        assert u.literal_tokens(pattern) == tokens, pattern
+
+
+def test_junk_hosts_are_blocked_and_clean_ones_are_not(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = url_filters.filter_urls(pages, url_filters.JUNK_RULES).collect()
+    junk = re.compile(r"casino-win|free-bets|cheap-pills|adult-x|spam-farm|ads-track")
+    assert {bool(junk.search(r.host)) for r in got if r.verdict == "block"} == {True} and all(r.verdict == "block" for r in got if junk.search(r.host))

@@ -206,18 +206,14 @@ def test_no_documents(no_docs):
 
 def test_pipeline_matches_brute_force(spark, tmp_path):
     import corpus_pipeline
-    from tests.llm.test_dedup import brute_components, brute_fingerprint
-    from tests.llm.test_text import NORMAL, WORD, brute_measures, lower
+    from tests.llm.test_near_copies import brute_groups
+    from tests.llm.test_text import NORMAL, WORD, brute_keeps, lower
 
     source = "/root/testdata/sf0.001"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{source}/documents.parquet").collect()}
     items = [r.text for r in spark.read.parquet(f"{source}/benchmark.parquet").collect()]
     # 1: quality rules
-    def keeps(t):
-        n, chars, symbols, dup, again, lines = brute_measures(t)
-        return not (n < 50 or 100 * again > 50 * n or 5 * symbols > n or (10 * dup > 5 * lines and dup >= 3) or chars < 2 * n or chars > 20 * n)
-
-    docs = {i: t for i, t in docs.items() if keeps(t)}
+    docs = {i: t for i, t in docs.items() if brute_keeps(t)}
     # 2: later three-line windows
     first, texts = set(), {}
     for i in sorted(docs):
@@ -232,7 +228,7 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
     docs = {i: t for i, t in texts.items() if WORD.search(t)}
     # 3: one of each group
     ids = sorted(docs)
-    comp = brute_components([brute_fingerprint(docs[i]) for i in ids], 2)
+    comp = brute_groups([docs[i] for i in ids])
     docs = {i: docs[i] for k, i in enumerate(ids) if comp[k] == k}
     # 4: benchmark windows
     windows = set()
