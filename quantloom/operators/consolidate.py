@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import latest_per_key
+from ..functions.series import latest_per_key, upsert
 from ..functions.times import ny_date, recent_days
 
 
@@ -17,8 +19,8 @@ def last_n_day_aggs(bars: DataFrame, n: int) -> DataFrame:
     return recent.filter(F.col("ticker").isNotNull()).select("date", "ticker", *rest)
 
 
-def append_bars(existing: DataFrame, new: DataFrame, key: str = "ticker", ts: str = "window_start", mode: str = "upsert") -> DataFrame:
-    """Existing and new bars with one row per (key, ts); the new one wins.
+def append_bars(existing: DataFrame, new: DataFrame, key: str = "ticker", ts: str = "window_start", mode: str = "upsert", order: Sequence[str] | None = None) -> DataFrame:
+    """Existing and new bars with one row per (key, ts); the new one wins, of several the last in ``order`` (default: the other columns).
 
     mode "newer_only" first drops new rows that aren't later than the latest existing one of their key.
     """
@@ -27,8 +29,31 @@ def append_bars(existing: DataFrame, new: DataFrame, key: str = "ticker", ts: st
     if mode == "newer_only":
         high = existing.groupBy(key).agg(F.max(ts).alias("__high"))
         new = new.join(high, key, "left").filter(F.col("__high").isNull() | (F.col(ts) > F.col("__high"))).drop("__high")
-    both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-    return latest_per_key(both, [key, ts], [F.col("__new").desc()]).drop("__new")
+    return upsert(existing, new, [key, ts], keep="last", order=order)
+
+
+#: Key and dates of the corporate actions, and the months that a refresh goes back.
+ACTIONS = {
+    "splits": (("ticker", "execution_date"), ("execution_date",), 6),
+    "dividends": (("ticker", "ex_dividend_date"), ("ex_dividend_date", "pay_date", "record_date", "declaration_date"), 2),
+}
+
+
+def refresh_start(modified: Column, kind: str) -> Column:
+    """The date from which actions are asked for again, given when the table was last written."""
+    return F.add_months(F.to_date(modified), -ACTIONS[kind][2])
+
+
+def load_actions(new: DataFrame, kind: str, old: DataFrame | None = None) -> DataFrame:
+    """Splits or dividends as delivered, added to the table so far: one row per key, the old one if there is one.
+
+    Dates that don't parse become null, the vendor's ``id`` goes. Of several new rows of one key the first in order of the
+    other columns counts. Sorted by key within partitions.
+    """
+    keys, dates, _ = ACTIONS[kind]
+    typed = new.withColumns({c: F.col(c).try_cast("date") for c in dates if c in new.columns}).drop("id")
+    done = upsert(old if old is not None else typed.limit(0), typed, list(keys))
+    return done.sortWithinPartitions(*keys)
 
 
 def normalize_assets(df: DataFrame) -> DataFrame:

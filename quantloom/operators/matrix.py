@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import densify, ewm_fold, ewm_mean, ffill_bfill, growing, top_n_by
+from ..functions.series import densify, ewm_gaps, ewm_mean, ffill_bfill, growing, top_n_by
 from ..functions.times import ny_date, ny_wall, seconds, session_filter
 
 OHLC = ("open", "high", "low", "close")
@@ -125,26 +125,25 @@ def option_flow_matrix(bars: DataFrame, n: int = 1024, span: int = 10) -> DataFr
     day = day.withColumn("window_start", ny_wall(bars, "window_start"))
     best = top_n_by(day, ["date"], "underlying", F.col("volume"), n)
     amounts = best.groupBy("date", "underlying", "type", "window_start").agg(F.sum("volume").alias("v"), F.sum(F.col("volume") * F.col("strike")).alias("vs"))
-    # minutes that any underlying has, by type: small, at most 391 each
-    exist = amounts.select("date", "type", "window_start").distinct()
-    minute = F.explode(F.sequence(F.col("date").cast("timestamp_ntz") + seconds(34200), F.col("date").cast("timestamp_ntz") + seconds(57600), seconds(60)))
-    kinds = F.explode(F.array(F.lit("C"), F.lit("P")))
-    und = amounts.select("date", "underlying").distinct().withColumn("type", kinds).withColumn("window_start", minute)
-    traded = amounts.select("date", "underlying", "type").distinct().withColumn("__has", F.lit(True))
-    grid = (
-        und.join(exist.withColumn("__any", F.lit(True)), ["date", "type", "window_start"], "left")
-        .join(amounts, ["date", "underlying", "type", "window_start"], "left")
-        .join(traded, ["date", "underlying", "type"], "left")
-    )
-    null_or = lambda c: F.when(F.col(c).isNotNull(), F.col(c).cast("double")).when(F.col("__any").isNull(), F.lit(0.0))
-    series = grid.groupBy("date", "underlying", "type", "__has").agg(
-        F.sort_array(F.collect_list(F.struct("window_start", null_or("v").alias("v"), null_or("vs").alias("vs"), F.coalesce("v", F.lit(0)).alias("n")))).alias("s")
-    )
-    alpha = 2 / (span + 1)
-    means = series.withColumns({"ev": ewm_fold(F.transform("s", lambda x: x["v"]), alpha), "es": ewm_fold(F.transform("s", lambda x: x["vs"]), alpha)})
-    flat = means.select("date", "underlying", "type", "__has", F.explode(F.arrays_zip("s", "ev", "es")).alias("x"))
-    mean = F.when(F.col("__has"), F.coalesce(F.try_divide("x.es", "x.ev"), F.lit(0.0)))
-    flat = flat.select("date", "underlying", "type", F.col("x.s.window_start").alias("window_start"), F.col("x.s.n").alias("n"), mean.alias("m"))
+    # the minutes that any underlying has, by type: 391 a date at most
+    any_has = amounts.groupBy("date", "type").agg(F.collect_set("window_start").alias("__any"))
+    entry = F.struct("window_start", F.struct("v", "vs"))
+    of_type = lambda t: F.struct(F.lit(t).alias("type"), F.map_from_entries(F.collect_list(F.when(F.col("type") == t, entry))).alias("own"))
+    series = amounts.groupBy("date", "underlying").agg(F.array(of_type("C"), of_type("P")).alias("__s")).select("date", "underlying", F.inline("__s"))
+    series = series.join(any_has, ["date", "type"], "left").repartition("date", "underlying")  # for all that follows
+    day_start = F.col("date").cast("timestamp_ntz")
+    minute = F.posexplode(F.sequence(day_start + seconds(34200), day_start + seconds(57600), seconds(60))).alias("i", "window_start")
+    rows = series.select("date", "underlying", "type", "own", "__any", minute)
+    rows = rows.select("date", "underlying", "type", "window_start", "i", (F.size("own") > 0).alias("__has"), F.try_element_at("own", F.col("window_start")).alias("x"), F.array_contains("__any", F.col("window_start")).alias("__any"))
+    known = F.col("x").isNotNull() | ~F.coalesce("__any", F.lit(False))
+    keys, order = ["date", "underlying", "type"], ["i"]
+    share, decay = ewm_gaps(known, F.col("i"), keys, order, 2 / (span + 1))
+    w = growing(keys, order)
+    rows = rows.withColumns({"__share": share, "__decay": decay}).withColumn("__p", F.product("__decay").over(w))
+    # both means have the factor P, so it falls out of their ratio
+    part = lambda c: F.sum(F.when(known, F.col("__share") * F.coalesce(F.col(f"x.{c}").cast("double"), F.lit(0.0)) / F.col("__p"))).over(w)
+    mean = F.when(F.col("__has"), F.coalesce(F.try_divide(part("vs"), part("v")), F.lit(0.0)))
+    flat = rows.select("date", "underlying", "type", "window_start", F.coalesce("x.v", F.lit(0)).alias("n"), mean.alias("m"))
     of = lambda t, c: F.max(F.when(F.col("type") == t, F.col(c)))
     return flat.groupBy("date", "window_start", "underlying").agg(
         of("C", "n").cast("int").alias("C_volume"), of("P", "n").cast("int").alias("P_volume"), of("C", "m").alias("C_vwas_ema10"), of("P", "m").alias("P_vwas_ema10")

@@ -82,18 +82,33 @@ def ohlc4() -> Column:
 
 
 def lookup_leg_prices(chain: DataFrame, legs: DataFrame, time_col: str = "entry_time") -> DataFrame:
-    """``legs`` (date, underlying, expiry, type, strike, time) with ``price``: OHLC4 at the nearest minute, null without the contract.
+    """``legs`` (date, underlying, expiry, type, strike, time) with ``price``: OHLC4 of the continuous chain at the nearest minute, null without the contract.
 
-    ``chain`` must be continuous: then the nearest minute is the clamped, rounded time (half way: the earlier), and the
-    lookup is an equi-join on it.
+    ``chain`` may be the bars as they are or the continuous chain. The nearest minute is the time, kept inside the chain's
+    first and last minute and rounded (half way: the earlier); there each price is the contract's last one so far, else its
+    first. Only bars of asked contracts are joined, so the cost follows what is asked, not the market.
     """
-    ends = chain.groupBy(*CHAIN).agg(F.min("window_start").alias("__lo"), F.max("window_start").alias("__hi"))
-    priced = chain.select(*CHAIN, "type", F.col("strike").cast("decimal(12,3)").alias("__strike"), F.col("window_start").alias("__at"), ohlc4().alias("price"))
+    bars = chain.withColumns({"__at": ny_wall(chain, "window_start"), "__strike": F.col("strike").cast("decimal(12,3)")})
+    asked = legs.withColumn("__strike", F.col("strike").cast("decimal(12,3)"))
+    contract = [*CHAIN, "type", "__strike"]
+    wanted = bars.join(legs.select(*CHAIN).distinct(), list(CHAIN), "left_semi")
+    ends = wanted.groupBy(*CHAIN).agg(F.min("__at").alias("__lo"), F.max("__at").alias("__hi"))
+    own = bars.join(legs.select(*CHAIN, "type", F.col("strike").cast("decimal(12,3)").alias("__strike")).distinct(), contract, "left_semi")
+    rest = [c for c in chain.columns if c not in (*CONTRACT, "window_start")]
+    own = latest_per_key(own, [*contract, "__at"], [F.col(c) for c in rest])
+    prices = own.groupBy(*contract).agg(F.collect_list(F.struct("__at", *OHLC)).alias("__bars"))  # a contract's minutes of one day
     t = F.least(F.greatest(F.col(time_col), F.col("__lo")), F.col("__hi"))
     floor = F.date_trunc("minute", t).cast("timestamp_ntz")
     nearest = F.when(t - floor > seconds(30), floor + seconds(60)).otherwise(floor)
-    asked = legs.join(ends, list(CHAIN), "left").withColumns({"__at": nearest, "__strike": F.col("strike").cast("decimal(12,3)")}).drop("__lo", "__hi")
-    return asked.join(priced, [*CHAIN, "type", "__strike", "__at"], "left").drop("__strike", "__at")
+    rows = asked.join(ends, list(CHAIN), "left").withColumn("__time", nearest).drop("__lo", "__hi").join(prices, contract, "left")
+
+    def at(c):
+        given = F.filter("__bars", lambda b: b[c].isNotNull())
+        last = F.array_max(F.filter(F.transform(given, lambda b: F.struct(b["__at"], b[c])), lambda b: b["__at"] <= F.col("__time")))
+        return F.coalesce(last[c], F.array_min(F.transform(given, lambda b: F.struct(b["__at"], b[c])))[c])
+
+    price = sum((at(c) for c in OHLC[1:]), at(OHLC[0])) / 4.0
+    return rows.select(*legs.columns, price.alias("price"))
 
 
 def _sides(df: DataFrame, keys, price: Column) -> DataFrame:

@@ -72,7 +72,7 @@ def _trades(spark, sf):
 
 @query("o4_lookup_leg_prices", _ALL(_PRICED) + " FINAL SELECT trade_id, leg, strike, price FROM pr", dbl=("strike", "price"))
 def o4(spark, sf):
-    return options.lookup_leg_prices(_chain(spark, sf), options.spread_legs(_trades(spark, sf))).select("trade_id", "leg", "strike", "price")
+    return options.lookup_leg_prices(v.option_bars(spark, sf), options.spread_legs(_trades(spark, sf))).select("trade_id", "leg", "strike", "price")
 
 
 _DIFF = {
@@ -121,7 +121,7 @@ def o8(spark, sf):
 
 @query("o9_spread_credit", _ALL(_PRICED) + " FINAL SELECT * FROM cr", dbl=("credit",))
 def o9(spark, sf):
-    return options.spread_credit(_trades(spark, sf), _chain(spark, sf))
+    return options.spread_credit(_trades(spark, sf), v.option_bars(spark, sf))
 
 
 _INTRINSIC = "CASE WHEN type = 'C' THEN greatest({s} - strike, 0.0) ELSE greatest(strike - {s}, 0.0) END"

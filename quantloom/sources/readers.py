@@ -1,4 +1,4 @@
-"""Vendor files as typed tables: declared schemas, nanosecond stamps kept as the ordering column."""
+"""Vendor files as typed tables: columns by header name, declared types, nanosecond stamps kept as the ordering column."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.times import NEW_YORK, parse_press_time
 from ..operators.options import parse_option_ticker
 
-#: Column order of the vendor's files.
+#: The columns of the vendor's files and their types; files may have them in any order, with others, or lack some.
 BARS = "ticker string, volume double, open double, close double, high double, low double, window_start long, transactions long"
 QUOTES = "ticker string, ask_exchange short, ask_price float, ask_size int, bid_exchange short, bid_price float, bid_size int, sip_timestamp long"
 TRADES = (
@@ -23,32 +23,65 @@ def instant(name: str) -> Column:
     return F.expr(f"timestamp_micros(`{name}` div 1000)")
 
 
-def _csv(spark: SparkSession, path, schema: str) -> DataFrame:
-    """CSV by header names, gzip or plain; unreadable and empty files give no rows."""
-    names = [c.split()[0] for c in schema.split(", ")]
-    kinds = [c.split()[1] for c in schema.split(", ")]
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
-    df = raw.schema(", ".join(f"{n} string" for n in names)).option("enforceSchema", True).csv(path)
-    return df.select(*[F.col(n).try_cast(k).alias(n) for n, k in zip(names, kinds, strict=True)])
+#: Most columns of a file whose header may differ from the others'.
+WIDEST = 64
 
 
-def read_bars_csv(spark: SparkSession, path, tz: str = NEW_YORK, on_invalid: str = "error") -> DataFrame:
-    """Bars with prices as float and window_start as instant, sorted by key within partitions.
+def _csv(spark: SparkSession, path, schema: str, keys: tuple[str, ...], mixed: bool) -> DataFrame:
+    """CSV by header names, gzip or plain, with a null column for each that is absent; unreadable and empty files give no rows.
 
-    Volume is a whole number, except with tz "UTC" (currencies), where it keeps its fraction. Files of option bars are
-    known by the ticker's ``O:`` and get underlying, expiry, type and strike, null for other rows.
+    All files must have one header, and the job fails at a file with another; with ``mixed`` every file's own header
+    counts (headers are a scan of their own). A file without one of the ``keys`` fails, or the call does. (Spark's own
+    check of headers can't be used: a file that fails it counts as corrupt and would be skipped.)
+    """
+    columns = [c.split() for c in schema.split(", ")]
+    raw = spark.read.option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
+    expected = [] if mixed else [c.strip() for c in raw.option("header", True).csv(path).columns]
+    missing = [k for k in keys if k not in expected]
+    if expected and missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}; there are {', '.join(expected)}")
+    names = [f"c{i}" for i in range(len(expected) + 1 if expected else WIDEST)]
+    cells = raw.option("header", False).schema(", ".join(f"{n} string" for n in names)).csv(path)
+    lines = cells.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("cells"))
+    trimmed = F.transform("cells", lambda c: F.trim(c))
+    is_head = F.array_contains(trimmed, keys[0])
+    fails = lambda text: F.raise_error(F.concat(F.lit(text), "file")).cast("boolean")
+    if expected:
+        same = trimmed == F.array(*[F.lit(c) for c in expected], F.lit(None).cast("string"))
+        rows = lines.filter(F.when(~F.coalesce(is_head, F.lit(False)), F.lit(True)).when(same, F.lit(False)).otherwise(fails("another header than in the first file: ")))
+        pick = {n: F.col("cells")[expected.index(n)] if n in expected else F.lit(None).cast("string") for n, _ in columns}
+    else:
+        # a row for each file, without a header too: nothing can be lost in the join
+        head = F.coalesce(F.first(F.when(is_head, trimmed), ignorenulls=True), F.array(F.lit("")))
+        rows = lines.filter(~F.coalesce(is_head, F.lit(False))).join(lines.groupBy("file").agg(head.alias("head")), "file")
+        checked = F.col("cells")
+        for key in keys:
+            failing = F.raise_error(F.concat(F.lit(f"no column {key} in "), "file")).cast("array<string>")
+            checked = F.when(F.array_contains("head", key), checked).otherwise(failing)
+        rows = rows.withColumn("cells", checked)
+        pick = {n: F.get("cells", F.array_position("head", n).cast("int") - 1) for n, _ in columns}
+    return rows.select(*[pick[n].try_cast(kind).alias(n) for n, kind in columns])
+
+
+_BAR_KEYS, _TICK_KEYS = ("ticker", "window_start"), ("ticker", "sip_timestamp")
+
+
+def read_bars_csv(spark: SparkSession, path, tz: str = NEW_YORK, mixed: bool = False) -> DataFrame:
+    """Bars with prices as float and window_start as instant, sorted by key within partitions; null volume and transactions where files have none.
+
+    Volume is a whole number, except with tz "UTC" (currencies), where it keeps its fraction.
     """
     volume = F.col("volume") if tz == "UTC" else F.col("volume").cast("long")
-    df = _csv(spark, path, BARS).filter(F.col("ticker").isNotNull()).select(
+    df = _csv(spark, path, BARS, _BAR_KEYS, mixed).filter(F.col("ticker").isNotNull()).select(
         "ticker", *[F.col(c).cast("float").alias(c) for c in ("open", "high", "low", "close")], volume.alias("volume"), "transactions", instant("window_start").alias("window_start")
     )
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.convert_timezone(None, F.lit("UTC"), F.col("window_start").cast("timestamp_ntz")))
     return df.withColumn("date", F.to_date(local)).sortWithinPartitions("ticker", "window_start")
 
 
-def read_option_bars_csv(spark: SparkSession, path, on_invalid: str = "error") -> DataFrame:
+def read_option_bars_csv(spark: SparkSession, path, on_invalid: str = "error", mixed: bool = False) -> DataFrame:
     """Option bars keyed by underlying, expiry, type, strike and window_start; a bad ticker fails the job unless told otherwise."""
-    df = parse_option_ticker(read_bars_csv(spark, path), on_invalid=on_invalid)
+    df = parse_option_ticker(read_bars_csv(spark, path, mixed=mixed), on_invalid=on_invalid)
     return df.sortWithinPartitions("underlying", "expiry", "type", "strike", "window_start")
 
 
@@ -57,26 +90,26 @@ def _ticks(df: DataFrame) -> DataFrame:
     return stamped.withColumn("date", F.to_date(F.convert_timezone(None, F.lit(NEW_YORK), F.col("sip_timestamp").cast("timestamp_ntz"))))
 
 
-def read_stock_quotes_csv(spark: SparkSession, path) -> DataFrame:
+def read_stock_quotes_csv(spark: SparkSession, path, mixed: bool = False) -> DataFrame:
     """Stock quotes sorted by ticker and time within partitions."""
-    return _ticks(_csv(spark, path, QUOTES)).sortWithinPartitions("ticker", "sip_ns")
+    return _ticks(_csv(spark, path, QUOTES, _TICK_KEYS, mixed)).sortWithinPartitions("ticker", "sip_ns")
 
 
-def read_stock_trades_csv(spark: SparkSession, path) -> DataFrame:
+def read_stock_trades_csv(spark: SparkSession, path, mixed: bool = False) -> DataFrame:
     """Stock trades; the participant's stamp becomes an instant too, the reporting facility's stays a number."""
-    df = _ticks(_csv(spark, path, TRADES)).withColumn("participant_timestamp", instant("participant_timestamp"))
+    df = _ticks(_csv(spark, path, TRADES, _TICK_KEYS, mixed)).withColumn("participant_timestamp", instant("participant_timestamp"))
     return df.sortWithinPartitions("ticker", "sip_ns", "sequence_number")
 
 
-def read_option_quotes_csv(spark: SparkSession, path) -> DataFrame:
+def read_option_quotes_csv(spark: SparkSession, path, mixed: bool = False) -> DataFrame:
     """Option quotes by underlying and time; tickers that don't parse are dropped."""
-    df = parse_option_ticker(_ticks(_csv(spark, path, QUOTES)), on_invalid="drop")
+    df = parse_option_ticker(_ticks(_csv(spark, path, QUOTES, _TICK_KEYS, mixed)), on_invalid="drop")
     return df.repartition("date", "underlying").sortWithinPartitions("date", "underlying", "sip_ns")
 
 
-def read_option_trades_csv(spark: SparkSession, path, on_invalid: str = "error") -> DataFrame:
+def read_option_trades_csv(spark: SparkSession, path, on_invalid: str = "error", mixed: bool = False) -> DataFrame:
     """Option trades by underlying, expiry, type, strike and time; a bad ticker fails the job unless told otherwise."""
-    df = parse_option_ticker(_ticks(_csv(spark, path, OPTION_TRADES)), on_invalid=on_invalid)
+    df = parse_option_ticker(_ticks(_csv(spark, path, OPTION_TRADES, _TICK_KEYS, mixed)), on_invalid=on_invalid)
     return df.repartition("date", "underlying").sortWithinPartitions("date", "underlying", "expiry", "type", "strike", "sip_ns")
 
 

@@ -7,21 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A day of files counts as complete above so many tickers or underlyings.
+COMPLETE = {"stock_quotes": 9000, "stock_trades": 9000, "option_trades": 3000, "option_quotes": 100}
 
-def process_new(spark: SparkSession, source: str, sink: Callable[[DataFrame], None], checkpoint: str, schema=None, file_format: str = "parquet", **options) -> None:
-    """Passes every file that arrived since the last call to ``sink`` once (at least once if a call is cut off), then ends.
 
-    The checkpoint remembers what was done; ``sink`` should overwrite by partition, so that a repeat does no harm.
+def process_new(spark: SparkSession, source: str, sink: Callable[[DataFrame, int], None], checkpoint: str, schema=None, file_format: str = "parquet", **options) -> None:
+    """Passes every file that arrived since the last call to ``sink(rows, batch)`` once (at least once if a call is cut off), then ends.
+
+    The checkpoint remembers what was done and numbers the batches. ``sink`` should key its output by the batch, as
+    ``sinks.write_batch`` does: then a repeat does no harm, and a late file of a known date adds to it.
     """
     schema = schema or spark.read.format(file_format).options(**options).load(source).schema
     stream = spark.readStream.format(file_format).schema(schema).options(**options).load(source)
-    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: sink(df)).start()
+    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(sink).start()
     query.awaitTermination()
 
 
-def new_dates(df: DataFrame, done: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows of the dates that ``done`` doesn't have."""
-    return df.join(done.select(date_col).distinct(), date_col, "left_anti")
+def new_dates(df: DataFrame, done: DataFrame, date_col: str = "date", more_than: int = 0, of: str = "ticker") -> DataFrame:
+    """Rows of the dates that ``done`` doesn't have, or has with ``more_than`` different values of ``of`` at most: such a date isn't complete."""
+    if more_than:
+        counted = done.groupBy(date_col).agg(F.count_distinct(of).alias("__n")).filter(F.col("__n") > more_than)
+    else:
+        counted = done.select(date_col).distinct()
+    return df.join(counted.select(date_col), date_col, "left_anti")
 
 
 def stream_trade_bars(trades: DataFrame, interval: str = "10 seconds", late: str = "1 minute") -> DataFrame:

@@ -88,9 +88,12 @@ def test_recursive_mean_equals_pandas(spark):
     r = np.random.default_rng(2)
     for values in ([None, None, 3.0, None, 4.0, None, None, 0.0, 7.0], [0.0] * 4, [None] * 3, [float(x) if k % 3 else None for k, x in enumerate(r.normal(size=40))]):
         want = pd.Series(values, dtype=float).ewm(span=10, adjust=False).mean()
-        df = frame(spark, [(values,)], "v array<double>")
-        got = df.select(series.ewm_fold(F.col("v"), 2 / 11)).first()[0]
-        np.testing.assert_allclose(np.array(got, float), want)
+        df = frame(spark, list(enumerate(values)), "i int, v double").withColumn("k", F.lit(1))
+        share, decay = series.ewm_gaps(F.col("v").isNotNull(), F.col("i"), ["k"], ["i"], 2 / 11)
+        w = series.growing(["k"], ["i"])
+        df = df.withColumns({"share": share, "decay": decay}).withColumn("p", F.product("decay").over(w))
+        got = df.withColumn("mean", F.col("p") * F.sum(F.when(F.col("v").isNotNull(), F.col("share") * F.col("v") / F.col("p"))).over(w)).orderBy("i").collect()
+        np.testing.assert_allclose(np.array([r["mean"] for r in got], float), want)
 
 
 # ---- adjustment
@@ -349,6 +352,71 @@ def test_press_pages(spark):
     assert got == [("slug-1", "Mar 18, 2024 5:58PM EDT", T(2024, 3, 18, 21, 58), "One & two"), ("s2", None, None, ""), ("s3", None, None, "")]
 
 
+def test_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "index.csv").write_text("ticker,open,close,high,low,window_start\nI:X,10,20,30,5,1704205800000000000\n")  # no volume, no transactions
+    (r,) = readers.read_bars_csv(spark, str(tmp_path)).collect()
+    assert (r.open, r.close, r.high, r.low, r.volume, r.transactions, r.date) == (10.0, 20.0, 30.0, 5.0, None, None, dt.date(2024, 1, 2))
+    (tmp_path / "stock.csv").write_text("extra,low,window_start,volume,high,close,open,ticker\nz,1,1704205860000000000,7,4,3,2,A\n")
+    with pytest.raises(Exception, match="(?i)header"):  # another header: no garbage
+        readers.read_bars_csv(spark, str(tmp_path)).collect()
+    for path in (str(tmp_path), [str(tmp_path / "stock.csv"), str(tmp_path / "index.csv")]):
+        a, i = sorted(readers.read_bars_csv(spark, path, mixed=True).collect(), key=lambda r: r.ticker)
+        assert (a.open, a.close, a.high, a.low, a.volume, a.transactions) == (2.0, 3.0, 4.0, 1.0, 7, None)
+        assert (i.open, i.close, i.high, i.low, i.volume) == (10.0, 20.0, 30.0, 5.0, None)
+
+
+def test_a_missing_key_column_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ticker,open,close\nA,1,2\n")
+    with pytest.raises(ValueError, match="no column window_start"):
+        readers.read_bars_csv(spark, str(tmp_path))
+    with pytest.raises(Exception, match="no column window_start"):
+        readers.read_bars_csv(spark, str(tmp_path), mixed=True).collect()
+    (tmp_path / "b.csv").write_text("symbol,open\nA,1\n")
+    with pytest.raises(Exception, match="no column"):
+        readers.read_bars_csv(spark, str(tmp_path / "b.csv"), mixed=True).collect()
+    (tmp_path / "a.csv").write_text("ticker,window_start\nA,1704205800000000000\n")
+    assert readers.read_bars_csv(spark, str(tmp_path / "a.csv"), mixed=True).count() == 1
+    with pytest.raises(Exception, match="no column .* in .*b.csv"):
+        readers.read_bars_csv(spark, str(tmp_path), mixed=True).collect()
+
+
+def test_late_files_of_a_known_date_lose_nothing(spark, tmp_path):
+    from quantloom.sources import sinks
+    from quantloom.streaming import incremental
+
+    row = lambda t: frame(spark, [(dt.date(2024, 1, 2), t)], "date date, ticker string")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for ticker in ("AAA", "BBB"):
+        row(ticker).write.mode("append").parquet(source)
+        incremental.process_new(spark, source, lambda df, k: sinks.write_batch(df, out, k), str(tmp_path / "state"))
+    done = spark.read.parquet(out)
+    assert sorted(r.ticker for r in done.collect()) == ["AAA", "BBB"]
+    sinks.write_batch(row("BBB"), out, 1)  # a batch once more
+    assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["AAA", "BBB"]
+    assert incremental.new_dates(row("C"), done).count() == 0
+    assert incremental.new_dates(row("C"), done, more_than=2).count() == 1 and incremental.new_dates(row("C"), done, more_than=1).count() == 0
+
+
+def test_corporate_actions_are_loaded(spark):
+    schema = "id string, ticker string, ex_dividend_date string, pay_date string, record_date string, declaration_date string, cash_amount double"
+    new = frame(spark, [("1", "A", "2024-01-05", "bad", None, "2024-01-01", 0.5), ("2", "A", "2024-01-05", None, None, None, 0.7), ("3", "B", "soon", None, None, None, 0.1)], schema)
+    got = consolidate.load_actions(new, "dividends")
+    assert got.columns == ["ticker", "ex_dividend_date", "pay_date", "record_date", "declaration_date", "cash_amount"]
+    assert {(r.ticker, r.ex_dividend_date): r.cash_amount for r in got.collect()} == {("A", dt.date(2024, 1, 5)): 0.7, ("B", None): 0.1}
+    again = consolidate.load_actions(new.withColumn("cash_amount", F.lit(9.0)), "dividends", got)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
+    start = spark.range(1).select(consolidate.refresh_start(F.lit(dt.datetime(2024, 8, 31)), "splits").alias("s"), consolidate.refresh_start(F.lit(dt.datetime(2024, 8, 31)), "dividends").alias("d")).first()
+    assert (start.s, start.d) == (dt.date(2024, 2, 29), dt.date(2024, 6, 30))
+
+
+def test_ties_inside_new_rows_follow_the_order_column(spark):
+    old = frame(spark, [("A", 1, 1.0, 0)], "ticker string, window_start long, close double, seq int")
+    new = frame(spark, [("A", 2, 5.0, 1), ("A", 2, 4.0, 2), ("A", 1, 3.0, 1)], "ticker string, window_start long, close double, seq int").repartition(3)
+    got = {r.window_start: r.close for r in consolidate.append_bars(old, new, order=["seq"]).collect()}
+    assert got == {1: 3.0, 2: 4.0}
+    assert {r.window_start: r.close for r in consolidate.append_bars(old, new).collect()} == {1: 3.0, 2: 5.0}
+
+
 def test_broken_files_give_no_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ticker,volume,open,close,high,low,window_start,transactions\nA,1.7,1,2,3,0.5,1704205800123456789,2\n,1,1,1,1,1,1,1\n")
     (tmp_path / "b.csv").write_text("ticker,volume,open,close,high,low,window_start,transactions\n")
