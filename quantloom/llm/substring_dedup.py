@@ -22,8 +22,9 @@ from . import sketch
 from .common import LAST_ID, stored
 
 WINDOW = 13
-#: Bytes of text that a block of the second pass holds.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text that a block of the second pass holds, and windows whose digests are made at a time.
+BLOCK_BYTES = 8 << 20
+DIGESTS = 1 << 17
 
 
 def split_words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray]:
@@ -69,13 +70,14 @@ def windows(words: list[bytes], sizes: np.ndarray, n: int) -> tuple[np.ndarray,
     return h[inside], text[inside], np.flatnonzero(inside)
 
 
-def digests(words: list[bytes], places: np.ndarray, n: int) -> np.ndarray:
-    """128-bit digests of the words of the windows at ``places``, as two columns."""
-    joined = b" ".join(words)
-    ends = (np.fromiter(map(len, words), np.int64, len(words)) + 1).cumsum() - 1
+def digests(joined: bytes, ends: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """128-bit digests of the windows at ``places``, as two columns; ``ends``: where each word of ``joined`` ends."""
     begins, stops = np.concatenate([[0], ends[:-1] + 1])[places], ends[places + n - 1]
-    digest = xxhash.xxh3_128_digest
-    return np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]), "<i8").reshape(-1, 2)
+    digest, out = xxhash.xxh3_128_digest, np.empty((len(places), 2), np.int64)
+    for at in range(0, len(places), DIGESTS):
+        some = zip(begins[at : at + DIGESTS].tolist(), stops[at : at + DIGESTS].tolist(), strict=True)
+        out[at : at + DIGESTS] = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in some]), "<i8").reshape(-1, 2)
+    return out
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -87,15 +89,15 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str | None]]]:
-    """(did, k, texts) of some BLOCK_BYTES of text each."""
+def blocks(batches: Iterator[pa.RecordBatch], times: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, list[str | None]]]:
+    """(did, k, texts) of some ``times`` BLOCK_BYTES of text each."""
     held, size = [], 0
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             some = batch.slice(at, 256)
             held.append(some)
             size += some.nbytes
-            if size >= BLOCK_BYTES:
+            if size >= times * BLOCK_BYTES:
                 yield _block(held)
                 held, size = [], 0
     if held:
@@ -119,8 +121,10 @@ def candidate_rows(did: np.ndarray, k: np.ndarray, texts: list[str | None], n: i
     text, at = text[some], at[some]
     if not len(at):
         return
-    h1, h2 = digests(words, at, n).T
-    del words
+    joined, ends = b" ".join(words), (np.fromiter(map(len, words), np.int64, len(words)) + 1).cumsum() - 1
+    del words, h
+    h1, h2 = digests(joined, ends, at, n).T
+    del joined, ends
     order = did[text]
     place = (k[text].astype(np.int64) << 32) | (at - (sizes.cumsum() - sizes)[text])
     by = np.lexsort((place, order, h2, h1))
@@ -133,7 +137,9 @@ def candidate_rows(did: np.ndarray, k: np.ndarray, texts: list[str | None], n: i
         many = np.diff(begin, append=len(chosen))
         more, sizes = np.delete(chosen, begin), many - 1
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], sizes.cumsum()]).astype(np.int32)), pa.array(place[more]), mask=pa.array(sizes == 0))
-        first = chosen[begin]
+        # in order of documents: then all but the digest compresses well in the shuffle
+        by = np.lexsort((place[chosen[begin]], order[chosen[begin]]))
+        first, lists = chosen[begin][by], lists.take(pa.array(by))
         hashes = [pa.array(x[first]) if with_digest else pa.nulls(len(first), pa.int64()) for x in (h1, h2)]
         return pa.RecordBatch.from_arrays([*hashes, pa.array(order[first]), pa.array(place[first]), lists], names=["h1", "h2", "did", "place", "more"])
 

@@ -357,7 +357,7 @@ def removed_windows(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
 
     def candidates(batches):
         repeats, is_hot = (lambda hashes, i=i: sketch.reached(sent.value[i], hashes, width) for i in (0, 1))
-        for did, k, texts in blocks(batches):
+        for did, k, texts in blocks(batches, 2):
             yield block_pieces(did, k, [(t or "").encode() for t in texts], length, repeats, is_hot)
 
     found = rows.mapInArrow(candidates, "key long, did long, k int, start int, piece binary, others binary")
