@@ -11,6 +11,7 @@ import hashlib
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -167,19 +168,22 @@ class Codec:
             text = re.sub(" +", " ", text.lstrip(" ").rstrip(f" {MARK}"))  # at the end the marker counts as a space
         return " " + text if text and self.model.add_dummy_prefix else text
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool | None]]:
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool | None]]:
         """Ids of each text, and whether the sentencepiece library gives the same (null where it wasn't asked)."""
-        ready = [self.normalise(t).replace(" ", MARK) for t in texts]
+        return self._encode(texts, [self.normalise(t) for t in texts])
+
+    def _encode(self, texts: list[str], normal: list[str]) -> tuple[list[list[int]], list[bool | None]]:
+        ready = [t.replace(" ", MARK) for t in normal]
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(ready, add_special_tokens=False)]
         if self.instead:
             ids = [[y for x in some for y in self.instead.get(x, (x,))] for some in ids]
         same: list[bool | None] = [None] * len(texts)
         if self.peer is not None:
             same = [a == b for a, b in zip(ids, self.peer.encode(texts, num_threads=1), strict=True)]
-        return [np.array(x, "<u4") for x in ids], same
+        return ids, same
 
-    def decode(self, ids: np.ndarray) -> str:
-        text = b"".join(map(self.parts.__getitem__, ids.tolist()))
+    def decode(self, ids: list[int]) -> str:
+        text = b"".join(map(self.parts.__getitem__, ids))
         if self.model.add_dummy_prefix and text[:1] == b" ":
             text = text[1:]
         return text.decode("utf-8", "replace")
@@ -210,19 +214,20 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         for batch in batches:
             for some in slices(batch, 1):
                 texts = [t or "" for t in some.column(1).to_pylist()]
-                ids, same = codec.encode(texts)
+                normal = [codec.normalise(t) for t in texts]
+                ids, same = codec._encode(texts, normal)
                 back = [codec.decode(x) for x in ids]
                 skip = codec.model.add_dummy_prefix
                 columns = [
                     some.column(0),
                     pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+                    pa.array([zlib.crc32(array("I", x)) for x in ids], pa.int64()),  # 32-bit, in the machine's (little-endian) order
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]),
-                    pa.array([b == (n := codec.normalise(t).replace(MARK, " "))[skip and n != "" :] for b, t in zip(back, texts, strict=True)], pa.bool_()),
+                    pa.array([b == t.replace(MARK, " ")[skip and t != "" :] for b, t in zip(back, normal, strict=True)], pa.bool_()),
                     pa.array(same, pa.bool_()),
                 ]
                 if with_ids:
-                    columns.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
+                    columns.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
         pa.default_memory_pool().release_unused()
 
