@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts that are handled together: a tokenizer needs some 60 times their bytes.
-BATCH_DOCS, BATCH_BYTES = 512, 1 << 20
+BATCH_DOCS, BATCH_BYTES = 512, 1 << 19
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
