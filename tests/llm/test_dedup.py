@@ -424,3 +424,12 @@ def test_columns_named_like_the_results_do_no_harm(spark):
     assert kept.columns == docs.columns
     assert Counter(map(tuple, kept.collect())) == Counter([data[0], (2, "five", "k", 6, "r", 4, "g"), data[2]])
     assert {r.doc_id: list(r["__removed"]) for r in line_dedup.dedup_lines(docs).collect()} == {1: [], 2: [0, 1, 2, 3], None: []}
+
+
+def test_a_long_text_that_loses_most_of_its_lines(spark):
+    docs = spark.createDataFrame([(1, "\n".join(f"line {i % 40_000}" for i in range(200_000)))], "doc_id long, text string")
+    row = line_dedup.dedup_lines(docs).first()
+    # a window over the seam of two rounds is new once, later ones cover all of the rest
+    assert row["__n_lines"] == 200_000
+    assert list(row["__removed"]) == list(range(40_000, 200_000))
+    assert row["__kept"] == "\n".join(f"line {i}" for i in range(40_000))
