@@ -13,10 +13,12 @@ from .common import ascii_lower, let, stored, words
 
 #: Separators: every ASCII character but digits and lower-case letters (texts are lower-cased first).
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Test n-grams that are broadcast at a time (some 100 MB at most); a larger set is probed slice by slice, a scan each.
+#: Test n-grams that are broadcast at a time; a larger set is probed slice by slice, a scan each.
 BROADCAST_WINDOWS = 1_000_000
-#: Hits (some 300 bytes each) that are broadcast to the documents they belong to; more go by the shuffle.
+#: Hits that are broadcast to the documents they belong to; more go by the shuffle.
 BROADCAST_HITS = 200_000
+#: Bytes of either, words of any length included.
+BROADCAST_BYTES = 1 << 27
 
 
 def normal_words(text: Column) -> Column:
@@ -43,6 +45,11 @@ def benchmark_windows(items: DataFrame, n: int = 10, id_col: str = "item_id", te
     return cut.groupBy("n", "window").agg(F.collect_set("item").alias("items"))
 
 
+def window_bytes(window: Column, items: Column) -> Column:
+    """What a window and its items take in a broadcast, about."""
+    return F.octet_length(F.array_join(window, " ")).cast("long") + 16 * F.size(window) + 8 * F.size(items) + 64
+
+
 def contaminated_words(docs: DataFrame, items: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", whole_rows: bool = False) -> DataFrame:
     """Every row of ``docs`` as (__doc, __id, __text, words, hits): the row itself, its id and text, its normalised words,
     and (p, n, items) of each benchmark window in it.
@@ -52,8 +59,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame, n: int = 10, id_col: s
     can't clash.
     """
     bench = stored(benchmark_windows(items, n, item_id, item_text), "benchmark")
-    by_length = bench.groupBy("n").agg(F.count("*").alias("windows")).collect()  # n rows at most
-    lengths, total = sorted(r.n for r in by_length), sum(r.windows for r in by_length)
+    by_length = bench.groupBy("n").agg(F.count("*").alias("windows"), F.sum(window_bytes(F.col("window"), F.col("items"))).alias("bytes")).collect()  # n rows at most
+    lengths, total, size = sorted(r.n for r in by_length), sum(r.windows for r in by_length), sum(r.bytes for r in by_length)
     # a row is known by id and text: equal rows have equal hits
     columns = [F.col(f"`{c}`") for c in docs.columns] if whole_rows else [F.col(id_col)]
     rows = docs.select(F.struct(*columns).alias("__doc"), F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).withColumn("__key", F.xxhash64("__text", "__id"))
@@ -66,15 +73,16 @@ def contaminated_words(docs: DataFrame, items: DataFrame, n: int = 10, id_col: s
     for k in lengths:
         pick = F.coalesce(pick, F.when(F.col("n") == k, window_hash(F.col("window"), F.lit(1), k)))
     test = bench.select("n", pick.alias("h"), "window", "items")
-    slices = -(-total // BROADCAST_WINDOWS)
+    slices = max(-(-total // BROADCAST_WINDOWS), -(-size // BROADCAST_BYTES))
     found = None
     for k in range(slices):
         some = scan.join(F.broadcast(test.filter(F.pmod("h", F.lit(slices)) == k)), ["n", "h"]).select("__key", (F.col("p") + 1).alias("p"), "n", "window", "items")
         found = some if found is None else found.unionByName(some)
     # one row for each row that was hit; at most a row's own windows times the (few) windows of one hash
     found = stored(found.groupBy("__key").agg(F.collect_set(F.struct("p", "n", "window", "items")).alias("__hits")), "hits")
-    n_hits = found.agg(F.sum(F.size("__hits"))).first()[0] or 0
-    found = F.broadcast(found) if n_hits <= BROADCAST_HITS else found
+    sizes = F.aggregate("__hits", F.lit(0).cast("long"), lambda a, x: a + window_bytes(x["window"], x["items"]))
+    n_hits, size = found.agg(F.coalesce(F.sum(F.size("__hits")), F.lit(0)), F.coalesce(F.sum(sizes), F.lit(0))).first()
+    found = F.broadcast(found) if n_hits <= BROADCAST_HITS and size <= BROADCAST_BYTES else found
     joined = rows.join(found, "__key", "left").withColumn("words", normal_words(F.col("__text")))
     verified = let(
         F.struct(F.col("words").alias("w"), F.coalesce("__hits", F.array()).alias("h")),

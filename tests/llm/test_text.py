@@ -202,6 +202,12 @@ def test_large_benchmarks_are_probed_in_slices(spark, leaky, monkeypatch):
     assert Counter(map(tuple, decontamination.decontaminate(leaky, bench(spark)).collect())) == before
 
 
+def test_windows_of_long_words_are_probed_in_slices(spark, leaky, monkeypatch):
+    before = Counter(map(tuple, decontamination.decontaminate(leaky, bench(spark)).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 500)
+    assert Counter(map(tuple, decontamination.decontaminate(leaky, bench(spark)).collect())) == before
+
+
 # ---- url filters
 
 URLS = [
