@@ -39,6 +39,8 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 
 def window_hashes(words: np.ndarray, n: int, factor: int) -> np.ndarray:
     """A polynomial hash of every n consecutive values, by doubling: position i holds that of words[i : i + n]."""
+    if len(words) < n:
+        return np.zeros(0, np.uint64)
     out, length = None, 0
     power, size, multiplier = words, 1, np.uint64(factor)
     with np.errstate(over="ignore"):
@@ -52,8 +54,6 @@ def window_hashes(words: np.ndarray, n: int, factor: int) -> np.ndarray:
                     length += size
             if n >> bit + 1:
                 m = len(words) - 2 * size + 1
-                if m <= 0:
-                    return np.zeros(0, np.uint64)
                 power = power[:m] * multiplier + power[size : size + m]
                 size, multiplier = 2 * size, multiplier * multiplier
     return sketch.mix(out)

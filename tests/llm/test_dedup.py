@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from quantloom.llm import components, line_dedup, simhash_dedup, sketch, substring_dedup, suffix_dedup
@@ -102,6 +102,10 @@ def test_windows_of_no_documents(no_docs):
 
 
 @given(st.lists(st.integers(0, 2**64 - 1), max_size=40), st.integers(1, 17))
+@example([0] * 5, 7)
+@example([1] * 9, 11)
+@example([], 1)
+@example([3] * 16, 17)
 def test_window_hash_depends_on_the_window_only(values, n):
     words = np.array(values, np.uint64)
     got = substring_dedup.window_hashes(words, n, 0x9FB21C651E98DF25)
