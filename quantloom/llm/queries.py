@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_formatting,
+    conversation_repair,
     decontamination,
     line_dedup,
     quality_rules,
@@ -117,6 +118,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations")
+    found = conversation_repair.repair_digests(conversation_repair.damage(given))
+    every = given.select(F.col("conv_id").cast("long").alias("every")).distinct()
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return every.join(found, F.col("every").eqNullSafe(found["conv_id"]), "left").select(
+        F.col("every").alias("conv_id"),
+        *[zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -130,6 +144,7 @@ def queries() -> dict:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_url_filters": op9_url_filters,
         "op10_line_dedup": op10_line_dedup,
+        "op11_conversation_repair": op11_conversation_repair,
     }
 
 
