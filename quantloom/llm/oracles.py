@@ -161,6 +161,22 @@ SELECT t.doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(coalesce(len(r), 0) AS
 FROM t LEFT JOIN cov USING (doc_id)
 """
 
+OP12 = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM (SELECT * FROM e WHERE vec_id % 50 = 0) a JOIN e c ON c.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_suffix_dedup": OP2,
@@ -170,4 +186,5 @@ ORACLES = {
     "quality_ablations": ABLATIONS,
     "op9_url_filters": OP9,
     "op10_line_dedup": OP10,
+    "op12_hard_negatives": OP12,
 }

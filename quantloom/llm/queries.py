@@ -9,6 +9,7 @@ from . import (
     chat_formatting,
     conversation_repair,
     decontamination,
+    hard_negatives,
     line_dedup,
     quality_rules,
     sentencepiece_codec,
@@ -131,6 +132,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 def queries() -> dict:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -145,6 +151,7 @@ def queries() -> dict:
         "op9_url_filters": op9_url_filters,
         "op10_line_dedup": op10_line_dedup,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
