@@ -177,6 +177,22 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 3
 """
 
+OP13 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.y FROM reach r JOIN edge e ON r.y = e.x)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(r.least, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) r ON w.doc_id = r.x
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_suffix_dedup": OP2,
@@ -187,4 +203,5 @@ ORACLES = {
     "op9_url_filters": OP9,
     "op10_line_dedup": OP10,
     "op12_hard_negatives": OP12,
+    "op13_jaccard_join": OP13,
 }

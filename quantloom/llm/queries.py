@@ -10,6 +10,7 @@ from . import (
     conversation_repair,
     decontamination,
     hard_negatives,
+    jaccard_join,
     line_dedup,
     quality_rules,
     sentencepiece_codec,
@@ -137,6 +138,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", label))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def queries() -> dict:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -152,6 +158,7 @@ def queries() -> dict:
         "op10_line_dedup": op10_line_dedup,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_jaccard_join": op13_jaccard_join,
     }
 
 
