@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.asof import asof_join, shifted
 from ..functions.series import densify, growing, latest_per_key
-from ..functions.times import ny_wall, seconds
+from ..functions.times import ny_wall
 
 #: Index roots that stand for several underlyings.
 ALIASES = {"SPX": ("SPX", "SPXW"), "XSP": ("XSP", "XSPW"), "VIX": ("VIX", "VIXW")}
@@ -81,34 +82,32 @@ def ohlc4() -> Column:
     return (F.col("open") + F.col("high") + F.col("low") + F.col("close")) / 4.0
 
 
+def chains(bars: DataFrame) -> DataFrame:
+    """(date, underlying, chains): the expiries of an underlying's day, each with its first and last minute."""
+    ends = bars.select(*CHAIN, ny_wall(bars, "window_start").alias("at")).groupBy(*CHAIN).agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    return ends.groupBy("date", "underlying").agg(F.collect_list(F.struct("expiry", "lo", "hi")).alias("__chains"))
+
+
 def lookup_leg_prices(chain: DataFrame, legs: DataFrame, time_col: str = "entry_time") -> DataFrame:
     """``legs`` (date, underlying, expiry, type, strike, time) with ``price``: OHLC4 of the continuous chain at the nearest minute, null without the contract.
 
     ``chain`` may be the bars as they are or the continuous chain. The nearest minute is the time, kept inside the chain's
     first and last minute and rounded (half way: the earlier); there each price is the contract's last one so far, else its
-    first. Only bars of asked contracts are joined, so the cost follows what is asked, not the market.
+    first. An as-of join on the contract: linear in the legs and the bars of asked contracts.
     """
-    bars = chain.withColumns({"__at": ny_wall(chain, "window_start"), "__strike": F.col("strike").cast("decimal(12,3)")})
-    asked = legs.withColumn("__strike", F.col("strike").cast("decimal(12,3)"))
-    contract = [*CHAIN, "type", "__strike"]
-    wanted = bars.join(legs.select(*CHAIN).distinct(), list(CHAIN), "left_semi")
-    ends = wanted.groupBy(*CHAIN).agg(F.min("__at").alias("__lo"), F.max("__at").alias("__hi"))
-    own = bars.join(legs.select(*CHAIN, "type", F.col("strike").cast("decimal(12,3)").alias("__strike")).distinct(), contract, "left_semi")
+    exact = F.col("strike").cast("decimal(12,3)")
+    own = F.get(F.filter("__chains", lambda c: c["expiry"] == F.col("expiry")), F.lit(0))
+    asked = legs.join(chains(chain), ["date", "underlying"], "left").withColumn("__own", own)
+    at = shifted(F.least(F.greatest(F.col(time_col), F.col("__own.lo")), F.col("__own.hi")), 60)
+    asked = asked.select(*legs.columns, at.alias("__time"), exact.alias("__strike"))
     rest = [c for c in chain.columns if c not in (*CONTRACT, "window_start")]
-    own = latest_per_key(own, [*contract, "__at"], [F.col(c) for c in rest])
-    prices = own.groupBy(*contract).agg(F.collect_list(F.struct("__at", *OHLC)).alias("__bars"))  # a contract's minutes of one day
-    t = F.least(F.greatest(F.col(time_col), F.col("__lo")), F.col("__hi"))
-    floor = F.date_trunc("minute", t).cast("timestamp_ntz")
-    nearest = F.when(t - floor > seconds(30), floor + seconds(60)).otherwise(floor)
-    rows = asked.join(ends, list(CHAIN), "left").withColumn("__time", nearest).drop("__lo", "__hi").join(prices, contract, "left")
-
-    def at(c):
-        given = F.filter("__bars", lambda b: b[c].isNotNull())
-        last = F.array_max(F.filter(F.transform(given, lambda b: F.struct(b["__at"], b[c])), lambda b: b["__at"] <= F.col("__time")))
-        return F.coalesce(last[c], F.array_min(F.transform(given, lambda b: F.struct(b["__at"], b[c])))[c])
-
-    price = sum((at(c) for c in OHLC[1:]), at(OHLC[0])) / 4.0
-    return rows.select(*legs.columns, price.alias("price"))
+    contract = [*CHAIN, "type", "__strike"]
+    bars = chain.select(*CHAIN, "type", exact.alias("__strike"), ny_wall(chain, "window_start").alias("__at"), *[F.col(c).alias(f"__{c}") for c in rest])
+    bars = bars.join(legs.select(*CHAIN, "type", exact.alias("__strike")).distinct(), contract, "left_semi")
+    ohlc = [f"__{c}" for c in OHLC]
+    priced = asof_join(asked, bars, contract, "__time", "__at", ohlc, "filled", first_of=[f"__{c}" for c in rest])
+    price = sum((F.col(c) for c in ohlc[1:]), F.col(ohlc[0])) / 4.0
+    return priced.select(*legs.columns, price.alias("price"))
 
 
 def _sides(df: DataFrame, keys, price: Column) -> DataFrame:
@@ -162,10 +161,10 @@ def spread_legs(trades: DataFrame) -> DataFrame:
 
 def with_expiry(trades: DataFrame, bars: DataFrame) -> DataFrame:
     """Trades with the expiry chosen for their dte among their underlying's; without any, null."""
-    kinds = bars.select("date", "underlying", "expiry").distinct()
-    pairs = trades.select("trade_id", "date", "underlying", "dte").join(kinds, ["date", "underlying"])
-    chosen = choose_expiry(pairs, F.col("dte"), keys=("trade_id", "date", "underlying")).select("trade_id", "expiry")
-    return trades.join(chosen, "trade_id", "left")
+    gap = lambda c: F.datediff(expiry_date(c["expiry"]), F.date_add("date", F.col("dte")))
+    ranked = F.transform("__chains", lambda c: F.struct((gap(c) < 0).alias("past"), F.abs(gap(c)).alias("days"), c["expiry"].alias("expiry")))
+    chosen = F.array_min(F.filter(ranked, lambda r: r["days"].isNotNull()))["expiry"]
+    return trades.join(chains(bars), ["date", "underlying"], "left").select(*trades.columns, chosen.alias("expiry"))
 
 
 def spread_credit(trades: DataFrame, chain: DataFrame) -> DataFrame:
