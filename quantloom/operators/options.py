@@ -127,12 +127,16 @@ def implied_underlying(df: DataFrame, price: str = "ohlc4", keys=(*CHAIN, "windo
     rows = _sides(df, keys, value).withColumn("d", F.col("c") - F.col("p"))
     if price == "ohlc4":
         rows = rows.filter(F.col("d").isNotNull())
+    return _implied(rows, keys, price == "ohlc4")
+
+
+def _implied(rows: DataFrame, keys, zeros: bool) -> DataFrame:
+    """(keys, implied) from gaps ``d`` by strike: the first crossing, or zero if ``zeros``, else the strike of the smallest gap."""
     w = Window.partitionBy(*keys).orderBy("strike")
     rows = rows.withColumns({"s1": F.lead("strike").over(w), "d1": F.lead("d").over(w)})
-    crossing = F.col("d") * F.col("d1") < 0
     at = F.col("strike") - F.col("d") * ((F.col("s1") - F.col("strike")) / F.nullif(F.col("d1") - F.col("d"), F.lit(0.0)))
-    hit = F.when(crossing, at)
-    if price == "ohlc4":
+    hit = F.when(F.col("d") * F.col("d1") < 0, at)
+    if zeros:
         hit = F.when((F.col("d") == 0) & F.col("s1").isNotNull(), F.col("strike")).otherwise(hit)
     rows = rows.withColumn("hit", hit)
     first = F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("strike")))
@@ -192,15 +196,21 @@ def spread_payoff(trades: DataFrame, credits: DataFrame, n: int = 200) -> DataFr
 def spread_path(trades: DataFrame, chain: DataFrame) -> DataFrame:
     """(trade_id, window_start, credit, implied, payoff) for every minute of the chain from the entry on.
 
-    ``payoff`` is what closing at that minute's implied underlying would pay at expiration against the minute's credit.
-    Minutes with a missing leg or without an implied price are left out.
+    ``chain`` may be the bars as they are or the continuous chain; only chains of the trades are made continuous, once, and
+    dealt out by minute for the legs and the implied price alike. ``payoff`` is what closing at that minute's implied
+    underlying would pay at expiration against the minute's credit. Minutes with a missing leg or without an implied price
+    are left out.
     """
-    legs = spread_legs(trades).withColumn("__strike", F.col("strike").cast("decimal(12,3)"))
-    n_legs = F.count("*").over(Window.partitionBy("trade_id"))
-    legs = legs.withColumn("__n", n_legs)
-    priced = chain.select(*CHAIN, "type", F.col("strike").cast("decimal(12,3)").alias("__strike"), "window_start", ohlc4().alias("price"))
-    rows = legs.join(priced, [*CHAIN, "type", "__strike"]).filter(F.col("window_start") >= F.date_trunc("minute", "entry_time"))
-    rows = rows.join(implied_underlying(chain), [*CHAIN, "window_start"])
+    minute = [*CHAIN, "window_start"]
+    asked = chain.join(trades.select(*CHAIN).distinct(), list(CHAIN), "left_semi").select(*CONTRACT, "window_start", *OHLC)
+    dense = continuous_chain(asked).withColumn("price", ohlc4()).repartition(*minute)
+    sides = _implied(_sides(dense, minute, F.col("price")).withColumn("d", F.col("c") - F.col("p")).filter(F.col("d").isNotNull()), minute, True)
+    exact = F.col("strike").cast("decimal(12,3)")
+    legs = spread_legs(trades).withColumn("__n", F.count("*").over(Window.partitionBy("trade_id")))
+    legs = legs.select(*CHAIN, "type", exact.alias("__strike"), "trade_id", "entry_time", F.col("strike").alias("__k"), "pos", "__n")
+    priced = dense.select(*minute, "type", exact.alias("__strike"), "price")
+    rows = priced.join(legs, [*CHAIN, "type", "__strike"]).filter(F.col("window_start") >= F.date_trunc("minute", "entry_time"))
+    rows = rows.withColumnRenamed("__k", "strike").join(sides, minute)
     sums = rows.groupBy("trade_id", "window_start", "__n", "implied").agg(
         F.sum(F.col("pos") * F.col("price")).alias("credit"), F.sum(F.col("pos") * _intrinsic(F.col("implied"))).alias("owed"), F.count("price").alias("have")
     )
@@ -275,17 +285,33 @@ def straddle_surface(df: DataFrame, keys=CHAIN) -> DataFrame:
     )
 
 
+def near_strikes(df: DataFrame, n: int = 2, keys=CHAIN) -> DataFrame:
+    """(keys, strike, lo, hi): n strikes on each side of the one nearest to the implied underlying of the first minute, with the chain's first and last minute."""
+    of = lambda t: F.avg(F.when(F.col("type") == t, F.col("close")))
+    minutes = df.groupBy(*keys, "strike", "window_start").agg((of("C") - of("P")).alias("d"))
+    strikes = minutes.groupBy(*keys, "strike").agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"), F.min_by(F.struct("d"), "window_start").alias("first"))
+    # a chain's strikes: some hundreds
+    chain = strikes.groupBy(*keys).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sort_array(F.collect_list(F.struct("strike", "lo", F.col("first.d").alias("d")))).alias("all"))
+    opening = F.filter("all", lambda x: (x["lo"] == F.col("lo")) & x["d"].isNotNull())
+    chain = chain.withColumn("implied", F.array_min(F.transform(opening, lambda x: F.struct(F.abs(x["d"]).alias("d"), x["strike"].alias("strike"))))["strike"])
+    center = F.array_min(F.transform("all", lambda x, i: F.struct(F.abs(x["strike"] - F.col("implied")).alias("gap"), i.alias("i"))))["i"]
+    near = F.filter("all", lambda x, i: F.abs(i - F.col("center")) <= n)
+    chain = chain.filter(F.col("implied").isNotNull()).withColumn("center", center)
+    return chain.select(*keys, "lo", "hi", F.explode(F.transform(near, lambda x: x["strike"])).alias("strike"))
+
+
 def straddle_slopes(df: DataFrame, n: int = 2, cutoff: str = "10:30:00", keys=CHAIN) -> DataFrame:
     """(keys, strike, slope, intercept) of the straddle against minutes up to the cutoff, for n strikes on each side of the implied one.
 
-    Fewer than two minutes: null.
+    Only bars of these strikes are made dense. Fewer than two minutes: null.
     """
-    surface = straddle_surface(df, keys)
-    strikes = surface.select(*keys, "strike").distinct().withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("strike")))
-    center = strikes.join(implied_underlying_open(df, keys), list(keys)).groupBy(*keys).agg(F.min_by("rank", F.struct(F.abs(F.col("strike") - F.col("implied")), "rank")).alias("c"))
-    near = strikes.join(center, list(keys)).filter(F.abs(F.col("rank") - F.col("c")) <= n).select(*keys, "strike")
+    own = df.join(near_strikes(df, n, keys), [*keys, "strike"])
+    mean = own.groupBy(*keys, "type", "strike", "window_start", "lo", "hi").agg(F.avg("close").alias("close"))
+    dense = densify(mean, [*keys, "type", "strike"], "window_start", 60, bounds=("lo", "hi"), fill=["close"])
+    side = lambda t: F.max(F.when(F.col("type") == t, F.col("close")))
+    surface = dense.groupBy(*keys, "strike", "window_start", "lo").agg((side("C") + side("P")).alias("straddle"))
     early = F.when(F.date_format("window_start", "HH:mm:ss") <= cutoff, F.col("straddle"))
-    fit = surface.join(near, [*keys, "strike"], "left_semi").withColumn("y", early).groupBy(*keys, "strike")
+    fit = surface.select(*keys, "strike", early.alias("y"), F.timestamp_diff("MINUTE", F.col("lo"), F.col("window_start")).alias("minutes")).groupBy(*keys, "strike")
     enough = F.count("y") >= 2
     return fit.agg(F.when(enough, F.regr_slope("y", "minutes")).alias("slope"), F.when(enough, F.regr_intercept("y", "minutes")).alias("intercept"))
 

@@ -113,7 +113,8 @@ SESSIONS = (("pre", "04:00:00", "09:29:59"), ("day", "09:30:00", "15:59:59"), ("
 def bidask_spreads(bars: DataFrame) -> DataFrame:
     """Mean and sample deviation of the spread and of spread / last per date, ticker and session, without 3-sigma outliers.
 
-    Outliers are judged once, for each of the two measures by itself. A session of one row has no deviation, so all of it
+    Outliers are judged once, for each of the two measures by itself; what differs from the mean by rounding only (1e-12 of it)
+    is none. A session of one row has no deviation, so all of it
     counts as outlying and its figures are null.
     """
     wall = ny_wall(bars, "window_start")
@@ -124,7 +125,7 @@ def bidask_spreads(bars: DataFrame) -> DataFrame:
     spread = F.col("ask") - F.col("bid")
     rows = bars.select("date", "ticker", session.alias("s"), spread.alias("x"), F.try_divide(spread, F.col("last")).alias("f")).repartition("date", "ticker")
     w = Window.partitionBy("date", "ticker", "s")
-    near = lambda c: F.when(F.col(c).between(F.avg(c).over(w) - 3 * F.stddev_samp(c).over(w), F.avg(c).over(w) + 3 * F.stddev_samp(c).over(w)), F.col(c))
+    near = lambda c: F.when(F.abs(F.col(c) - F.avg(c).over(w)) <= 3 * F.stddev_samp(c).over(w) + 1e-12 * F.abs(F.avg(c).over(w)), F.col(c))
     kept = rows.withColumns({"x": near("x"), "f": near("f")})
     out = []
     for name, *_ in SESSIONS:

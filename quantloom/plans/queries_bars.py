@@ -292,10 +292,14 @@ def m13(spark, sf):
     return matrix.merge_matrices(_dense(spark, sf).select("date", "window_start", "ticker", "close"), flow)
 
 
-# ---- ticks, in intervals of ten minutes
+# ---- ticks
+
+#: Seconds of an interval.
+STEP = 10
+
 
 def _bin(ts: str) -> str:
-    return f"date_trunc('day', {ts}) + to_seconds(CAST(floor((extract('hour' FROM {ts}) * 3600 + extract('minute' FROM {ts}) * 60 + floor(extract('second' FROM {ts}))) / 600) * 600 AS INTEGER))"
+    return f"date_trunc('day', {ts}) + to_seconds(CAST(floor((extract('hour' FROM {ts}) * 3600 + extract('minute' FROM {ts}) * 60 + floor(extract('second' FROM {ts}))) / {STEP}) * {STEP} AS INTEGER))"
 
 
 def _ticks(prefix: str, keys: str, on: str, volume: str) -> dict[str, str]:
@@ -305,8 +309,8 @@ def _ticks(prefix: str, keys: str, on: str, volume: str) -> dict[str, str]:
     return {
         "q": f"SELECT date, {keys}, bin, {q_cols} FROM (SELECT CAST(ts AS DATE) AS date, {_bin('ts')} AS bin, * REPLACE ({micros}) FROM v_{prefix}quotes) GROUP BY ALL",
         "t": f"SELECT date, {keys}, bin, arg_max(price, ts * 1000000 + seq) AS last, arg_max(size, ts * 1000000 + seq) AS last_size, sum(size) AS volume FROM (SELECT CAST(ts AS DATE) AS date, {_bin('ts')} AS bin, * REPLACE ({micros}) FROM v_{prefix}trades) GROUP BY ALL",
-        "qg": f"SELECT date, {keys}, unnest(generate_series(lo, hi, INTERVAL 600 SECOND)) AS bin FROM (SELECT date, {keys}, min(bin) AS lo, max(bin) AS hi FROM q GROUP BY ALL)",
-        "tg": f"SELECT date, {keys}, unnest(generate_series(lo, hi, INTERVAL 600 SECOND)) AS bin FROM (SELECT date, {keys}, min(bin) AS lo, max(bin) AS hi FROM t GROUP BY ALL)",
+        "qg": f"SELECT date, {keys}, unnest(generate_series(lo, hi, INTERVAL {STEP} SECOND)) AS bin FROM (SELECT date, {keys}, min(bin) AS lo, max(bin) AS hi FROM q GROUP BY ALL)",
+        "tg": f"SELECT date, {keys}, unnest(generate_series(lo, hi, INTERVAL {STEP} SECOND)) AS bin FROM (SELECT date, {keys}, min(bin) AS lo, max(bin) AS hi FROM t GROUP BY ALL)",
         "qd": f"SELECT * FROM qg LEFT JOIN q USING ({on}, bin)",
         "td": f"SELECT * REPLACE (coalesce(volume, 0) AS volume) FROM tg LEFT JOIN t USING ({on}, bin)",
         "mg": f"SELECT {on}, bin AS window_start, last, last_size, volume, bid, bid_size, ask, ask_size FROM td FULL JOIN qd USING ({on}, bin)",
@@ -329,54 +333,54 @@ _SIZES = ("volume", "last_size", "bid_size", "ask_size")
 
 @query("q1_resample_quotes", _STOCK_SQL + " FINAL SELECT date, ticker, bin AS window_start, bid, bid_size, ask, ask_size FROM q", dbl=("bid", "ask"), txt=_TIMES)
 def q1(spark, sf):
-    return ticks.resample_quotes(v.quotes(spark, sf), ["ticker"], 600)
+    return ticks.resample_quotes(v.quotes(spark, sf), ["ticker"], STEP)
 
 
 @query("q2_resample_trades", _STOCK_SQL + " FINAL SELECT date, ticker, bin AS window_start, last, last_size, volume FROM t", dbl=("last",), txt=_TIMES, big=("volume",))
 def q2(spark, sf):
-    return ticks.resample_trades(v.trades(spark, sf), ["ticker"], 600)
+    return ticks.resample_trades(v.trades(spark, sf), ["ticker"], STEP)
 
 
 @query("q3_dense_bins", _STOCK_SQL + " FINAL SELECT date, ticker, bin AS window_start, last, volume FROM td", dbl=("last",), txt=_TIMES, big=("volume",))
 def q3(spark, sf):
-    bars = ticks.resample_trades(v.trades(spark, sf), ["ticker"], 600)
-    dense = densify(bars, ["date", "ticker"], "window_start", 600, zero=["volume"])
+    bars = ticks.resample_trades(v.trades(spark, sf), ["ticker"], STEP)
+    dense = densify(bars, ["date", "ticker"], "window_start", STEP, zero=["volume"])
     return dense.select("date", "ticker", "window_start", F.when(~F.col("is_new"), F.col("last")).alias("last"), "volume")
 
 
 @query("q4_merge_sides", _STOCK_SQL + " FINAL SELECT * FROM mg", dbl=(*_PRICES, *_SIZES), txt=_TIMES)
 def q4(spark, sf):
-    return ticks.dense_sides(v.trades(spark, sf), v.quotes(spark, sf), ["ticker"], 600)
+    return ticks.dense_sides(v.trades(spark, sf), v.quotes(spark, sf), ["ticker"], STEP)
 
 
 @query("q5_forward_fill", _STOCK_SQL + " FINAL SELECT * FROM ff", dbl=(*_PRICES, *_SIZES), txt=_TIMES)
 def q5(spark, sf):
-    return ticks.fill_ticks(ticks.dense_sides(v.trades(spark, sf), v.quotes(spark, sf), ["ticker"], 600), ["ticker"], True)
+    return ticks.fill_ticks(ticks.dense_sides(v.trades(spark, sf), v.quotes(spark, sf), ["ticker"], STEP), ["ticker"], True)
 
 
 @query("q6_drop_leading", _OPTION_SQL + " FINAL SELECT date, underlying, type, strike, window_start, last, bid, ask FROM fin", dbl=(*_PRICES, "strike"), txt=_TIMES)
 def q6(spark, sf):
     keys = ["underlying", "expiry", "type", "strike"]
-    filled = ticks.fill_ticks(ticks.dense_sides(v.option_trades(spark, sf), v.option_quotes(spark, sf), keys, 600), keys, False)
+    filled = ticks.fill_ticks(ticks.dense_sides(v.option_trades(spark, sf), v.option_quotes(spark, sf), keys, STEP), keys, False)
     return ticks.drop_leading_incomplete(filled, keys).select("date", "underlying", "type", "strike", "window_start", "last", "bid", "ask")
 
 
 @query("q7_stock_tq_bars", _STOCK_SQL + " FINAL SELECT * FROM fin", dbl=_PRICES, txt=_TIMES, big=("volume",))
 def q7(spark, sf):
-    return ticks.stock_tq_bars(v.trades(spark, sf), v.quotes(spark, sf), 600)
+    return ticks.stock_tq_bars(v.trades(spark, sf), v.quotes(spark, sf), STEP)
 
 
 @query("q8_option_tq_bars", _OPTION_SQL + " FINAL SELECT * FROM fin", dbl=(*_PRICES, "strike"), txt=_TIMES, big=("volume", "expiry"))
 def q8(spark, sf):
-    return ticks.option_tq_bars(v.option_trades(spark, sf), v.option_quotes(spark, sf), 600)
+    return ticks.option_tq_bars(v.option_trades(spark, sf), v.option_quotes(spark, sf), STEP)
 
 
 _SPREADS = {
     **_STOCK,
     "ses": """SELECT date, ticker, ask - bid AS x, (ask - bid) / last AS f, CASE WHEN CAST(window_start AS TIME) BETWEEN TIME '04:00:00' AND TIME '09:29:59' THEN 'pre'
               WHEN CAST(window_start AS TIME) BETWEEN TIME '09:30:00' AND TIME '15:59:59' THEN 'day' WHEN CAST(window_start AS TIME) BETWEEN TIME '16:00:00' AND TIME '20:00:00' THEN 'post' END AS s FROM fin""",
-    "rej": """SELECT date, ticker, s, CASE WHEN x BETWEEN avg(x) OVER w - 3 * stddev_samp(x) OVER w AND avg(x) OVER w + 3 * stddev_samp(x) OVER w THEN x END AS x,
-              CASE WHEN f BETWEEN avg(f) OVER w - 3 * stddev_samp(f) OVER w AND avg(f) OVER w + 3 * stddev_samp(f) OVER w THEN f END AS f FROM ses WINDOW w AS (PARTITION BY date, ticker, s)""",
+    "rej": """SELECT date, ticker, s, CASE WHEN abs(x - avg(x) OVER w) <= 3 * stddev_samp(x) OVER w + 1e-12::DOUBLE * abs(avg(x) OVER w) THEN x END AS x,
+              CASE WHEN abs(f - avg(f) OVER w) <= 3 * stddev_samp(f) OVER w + 1e-12::DOUBLE * abs(avg(f) OVER w) THEN f END AS f FROM ses WINDOW w AS (PARTITION BY date, ticker, s)""",
 }
 _STATS = [(s, a, n) for s in ("pre", "day", "post") for a, n in (("x", ""), ("f", "_frac"))]
 
@@ -387,4 +391,4 @@ _STATS = [(s, a, n) for s in ("pre", "day", "post") for a, n in (("x", ""), ("f"
     dbl=tuple(f"{s}_{m}{n}" for s, _, n in _STATS for m in ("mean", "std")), txt=("date",),
 )
 def q9(spark, sf):
-    return ticks.bidask_spreads(ticks.stock_tq_bars(v.trades(spark, sf), v.quotes(spark, sf), 600))
+    return ticks.bidask_spreads(ticks.stock_tq_bars(v.trades(spark, sf), v.quotes(spark, sf), STEP))

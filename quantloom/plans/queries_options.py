@@ -127,14 +127,14 @@ def o9(spark, sf):
 _INTRINSIC = "CASE WHEN type = 'C' THEN greatest({s} - strike, 0.0) ELSE greatest(strike - {s}, 0.0) END"
 _PAYOFF = {
     **_PRICED,
-    "gr": "SELECT pr.*, cr.credit, i, center - 3 * width + 6 * width * (i / 49.0::DOUBLE) AS s FROM pr JOIN cr USING (trade_id), range(50) r(i) WHERE cr.credit IS NOT NULL",
+    "gr": "SELECT pr.*, cr.credit, i, center - 3 * width + 6 * width * (i / 199.0::DOUBLE) AS s FROM pr JOIN cr USING (trade_id), range(200) r(i) WHERE cr.credit IS NOT NULL",
 }
 
 
 @query("o10_spread_payoff", _ALL(_PAYOFF) + f" FINAL SELECT trade_id, i, s, first(credit) - sum(pos * {_INTRINSIC.format(s='s')}) AS payoff FROM gr GROUP BY trade_id, i, s", dbl=("s", "payoff"), big=("i",))
 def o10(spark, sf):
     trades = _trades(spark, sf)
-    return options.spread_payoff(trades, options.spread_credit(trades, _chain(spark, sf)), n=50)
+    return options.spread_payoff(trades, options.spread_credit(trades, v.option_bars(spark, sf)))
 
 
 _PATH = {
@@ -152,7 +152,8 @@ _PATH = {
     dbl=("credit", "implied", "payoff"), txt=("window_start",),
 )
 def o11(spark, sf):
-    return options.spread_path(_trades(spark, sf), _chain(spark, sf))
+    bars = v.option_bars(spark, sf).select(*options.CONTRACT, "window_start", *options.OHLC)
+    return options.spread_path(_trades(spark, sf), bars)
 
 
 @query(

@@ -196,7 +196,7 @@ def i14(spark, sf):
         "day_bars": v.day_bars(spark, sf), "minute_bars": v.minute_bars(spark, sf), "splits": v.splits(spark, sf), "dividends": v.dividends(spark, sf),
         "trades": v.trades(spark, sf), "quotes": v.quotes(spark, sf), "option_bars": v.option_bars(spark, sf),
     }
-    done = run_daily(tables, DailyConfig(interval=600), shared_path(spark, "daily"))
+    done = run_daily(tables, DailyConfig(), shared_path(spark, "daily"))
     rows = None
     for name, df in done.items():
         numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
