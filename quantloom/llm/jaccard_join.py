@@ -143,21 +143,27 @@ def _marks(docs: DataFrame) -> DataFrame:
 
 
 def _lists(marks: DataFrame) -> DataFrame:
-    """(tok, cls, n, pos) of prefix shingles that several classes have; hub: the member with the fewest rarer shingles."""
-    rows = marks.select("cls", "n", F.explode(F.arrays_zip("toks", "poss")).alias("e")).select(F.col("e.toks").alias("tok"), "cls", "n", F.col("e.poss").alias("pos"))
+    """(tok, cls, n, pos, rank) of prefix shingles that several classes have; hub: the member with the fewest rarer shingles.
+
+    rank: how many of the ``pos`` shingles before it may be in other texts at all.
+    """
+    rows = marks.select("cls", "n", F.posexplode(F.arrays_zip("toks", "poss")).alias("rank", "e")).select(F.col("e.toks").alias("tok"), "cls", "n", F.col("e.poss").alias("pos"), "rank")
     rows = stored(rows.distinct(), "prefixes")  # copies are one class
-    of = rows.groupBy("tok").agg(F.count("*").alias("m"), F.min(F.struct("pos", "n", "cls")).alias("hub")).filter("m > 1").select("tok", "hub")
+    of = rows.groupBy("tok").agg(F.count("*").alias("m"), F.min(F.struct("pos", "n", "cls", "rank")).alias("hub")).filter("m > 1").select("tok", "hub")
     return stored(rows.join(of, "tok"), "lists")
 
 
 def _passes(x: dict[str, Column], y: dict[str, Column], first: bool) -> Column:
-    """Length, prefix and position of a common shingle of two sets; ``first``: the shingle is known to be their first common one."""
+    """Length, prefix and position of a common shingle of two sets; ``first``: linked sets have no common one before it.
+
+    Else what is common before it is bounded by both ranks.
+    """
     swap = (x["n"] > y["n"]) | ((x["n"] == y["n"]) & (x["pos"] > y["pos"]))
     small = {c: F.when(swap, y[c]).otherwise(x[c]) for c in ("n", "pos")}
     large = {c: F.when(swap, x[c]).otherwise(y[c]) for c in ("n", "pos")}
     up = lambda n, num, den: F.floor((n * num + (den - 1)) / den)
     need = up(x["n"] + y["n"], SIMILAR, 100 + SIMILAR)
-    before = F.lit(0) if first else F.least(x["pos"], y["pos"])
+    before = F.lit(0) if first else F.least(x["rank"], y["rank"])
     return (
         (small["n"] * 100 >= large["n"] * SIMILAR)
         & (small["pos"] <= small["n"] - up(small["n"], 2 * SIMILAR, 100 + SIMILAR))
@@ -206,7 +212,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _of(prefix: str) -> dict[str, Column]:
-    return {c: F.col(f"{prefix}.{c}") for c in ("pos", "n", "cls")}
+    return {c: F.col(f"{prefix}.{c}") for c in ("pos", "n", "rank")}
 
 
 def _ordered_pairs(x: Column, y: Column) -> list[Column]:
@@ -219,8 +225,8 @@ def _candidates(some: DataFrame, lists: DataFrame, apart: Column | None = None)
     which = (F.col("x.cls") != F.col("y.cls")) if apart is None else apart
     ordered = F.col("x.cls") < F.col("y.cls")
     ends = [F.when(ordered, F.col(f"{p}.{c}")).otherwise(F.col(f"{q}.{c}")).alias(f"{c}_{k}") for k, p, q in (("a", "x", "y"), ("b", "y", "x")) for c in ("cls", "n", "pos")]
-    near = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * SIMILAR
-    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & which & near).select(*ends)
+    # a pair that fails at one common shingle is not linked, so what is found at the others of it does no harm
+    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & which & _passes(_of("x"), _of("y"), False)).select(*ends)
     firsts = met.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(F.first("n_a").alias("na"), F.first("n_b").alias("nb"), F.min(F.struct("pos_a", "pos_b")).alias("at"))
     one, other = ({"n": F.col(f"n{k}"), "pos": F.col(f"at.pos_{k}")} for k in "ab")
     return firsts.filter(_passes(one, other, True)).select("a", "b")
@@ -232,7 +238,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Equal sets are linked by being one class. Rows without words have a class of size 0 without links.
     """
     source, marks, lists, sets = _prepared(docs, id_col, text_col)
-    pairs = _candidates(lists.select("tok", "cls", "n", "pos"), lists.select("tok", "cls", "n", "pos"), F.col("x.cls") < F.col("y.cls"))
+    some = lists.select("tok", "cls", "n", "pos", "rank")
+    pairs = _candidates(some, some, F.col("x.cls") < F.col("y.cls"))
     return marks.select(F.col("id").alias(id_col), "cls", "n"), _links(cut(pairs), sets)
 
 
@@ -245,7 +252,7 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str):
 
 def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) whose components are those of all links."""
-    member, hub = {c: F.col(c) for c in ("pos", "n", "cls")}, _of("hub")
+    member, hub = {c: F.col(c) for c in ("pos", "n", "rank")}, _of("hub")
     stars = lists.filter((F.col("cls") != F.col("hub.cls")) & _passes(member, hub, False)).select(*_ordered_pairs(F.col("cls"), F.col("hub.cls")), "cls", "hub.cls")
     # of a set's hubs the one that it shares most prefix shingles with
     votes = stars.toDF("a", "b", "cls", "hub").groupBy("a", "b", "cls", "hub").count()
@@ -253,8 +260,8 @@ def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     links = cut(_links(done, sets))
     for last in (False, True):
         found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        rooted = lists.select("tok", "cls", "n", "pos").join(found, F.col("cls") == F.col("node"), "left").select("tok", "cls", "n", "pos", F.coalesce("root", "cls").alias("comp"))
-        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls"), "pos", "n", "cls")).alias("some"))
+        rooted = lists.select("tok", "cls", "n", "pos", "rank").join(found, F.col("cls") == F.col("node"), "left").select("tok", "cls", "n", "pos", "rank", F.coalesce("root", "cls").alias("comp"))
+        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls"), "pos", "n", "cls", "rank")).alias("some"))
         # of each list that is still apart the component with most members, and a member of it
         apart = by.groupBy("tok").agg(F.count("*").alias("comps"), F.max_by(F.struct("comp", "some"), F.struct("c", "comp")).alias("main")).filter("comps > 1")
         open_lists = cut(rooted.join(apart.select("tok", F.col("main.comp").alias("main"), F.col("main.some").alias("hub")), "tok"))
