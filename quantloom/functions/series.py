@@ -6,7 +6,8 @@ one partitioning by key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -54,21 +55,65 @@ def densify(df: DataFrame, keys: Sequence[str], ts: str, step: int, bounds: Sequ
     )
 
 
-def ewm_mean(c: Column, position: Column, w: WindowSpec, alpha: float) -> Column:
-    """Exponentially weighted mean with adjusted weights over a growing window without nulls in ``c``.
+#: Natural logarithm of the weights that stand side by side in one block of an exponential mean: e^200 is far from overflow.
+_SPAN = 200.0
 
-    ``position`` counts the rows of the partition from 1. Closed form: the sum of x_k r^-k over the sum of r^-k with
-    r = 1 - alpha; exact in double for some 3,000 rows per partition at alpha = 2/13, so partition by day.
+
+def ewm_means(df: DataFrame, keys: Sequence[str], order: Sequence[str], means: Mapping[str, tuple[Column, float]]) -> DataFrame:
+    """Adds exponentially weighted means with adjusted weights, ``means`` by name as (values without nulls, alpha), for series of any length.
+
+    A scan in two levels on one exchange: rows go in blocks, short enough for the closed form (the sum of x_k r^-k, with
+    r = 1 - alpha) to keep its digits; what the block before has gathered is carried in with its decay. What lies further
+    back has a weight below r^block, at most 1e-16 of the newest row's for any of the alphas (or there is a block for each alpha).
+    """
+    if not all(0 < alpha < 1 for _, alpha in means.values()):
+        raise ValueError("alpha must lie between 0 and 1")
+    rates = [-math.log1p(-alpha) for _, alpha in means.values()]
+    if max(rates) > 5 * min(rates):  # a block that suits the fastest is too short for the slowest
+        for name, one in means.items():
+            df = ewm_means(df, keys, order, {name: one})
+        return df
+    rows = max(1, int(_SPAN / max(rates)))
+    i = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    df = df.withColumn("__i", i).withColumns({"__b": F.floor((F.col("__i") - 1) / F.lit(rows)), "__j": (F.col("__i") - 1) % rows})
+    inside = growing([*keys, "__b"], order)
+    line = Window.partitionBy(*keys).orderBy("__b", *order)
+    power = lambda alpha, n: F.exp(F.lit(math.log1p(-alpha)) * n)
+    df = df.withColumns({f"__n{k}": F.sum(c / power(alpha, F.col("__j"))).over(inside) * power(alpha, F.col("__j")) for k, (c, alpha) in enumerate(means.values())})
+    df = df.withColumns({f"__c{k}": F.when(F.col("__j") == 0, F.lag(f"__n{k}").over(line)) for k in range(len(means))})
+    out = {}
+    for k, (name, (_, alpha)) in enumerate(means.items()):
+        carried = F.coalesce(F.first(f"__c{k}").over(inside), F.lit(0.0)) * power(alpha, F.col("__j") + 1)
+        weights = -F.expm1(F.lit(math.log1p(-alpha)) * F.col("__i")) / F.lit(alpha)
+        out[name] = (F.col(f"__n{k}") + carried) / weights
+    return df.withColumns(out).drop("__i", "__b", "__j", *[f"__{c}{k}" for k in range(len(means)) for c in "nc"])
+
+
+def decayed_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], decay: Column, sums: Mapping[str, Column]) -> DataFrame:
+    """Adds running sums y = decay * (y before) + x, ``sums`` by name as x (null: 0), for series of any length.
+
+    ``decay`` lies in [0, 1] and is never null. As in ``ewm_means``, rows go in blocks, here ended by the decay that has come
+    together: a block holds a factor of e^-200 at most, and the sum at the end of the block before is carried in. What lies
+    further back has decayed by more than e^200.
     """
-    weight = F.pow(F.lit(1 - alpha), -position)
-    return F.sum(c * weight).over(w) / F.sum(weight).over(w)
+    line = growing(keys, order)
+    df = df.withColumn("__d", decay).withColumn("__l", F.sum(-F.ln(F.greatest("__d", F.lit(1e-300)))).over(line))
+    df = df.withColumn("__b", F.floor(F.col("__l") / _SPAN))
+    inside = growing([*keys, "__b"], order)
+    first = F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(*order)) == 1
+    df = df.withColumn("__first", first).withColumn("__p", F.product(F.when(F.col("__first"), F.lit(1.0)).otherwise(F.col("__d"))).over(inside))
+    df = df.withColumns({f"__n{k}": F.sum(F.coalesce(x, F.lit(0.0)) / F.col("__p")).over(inside) * F.col("__p") for k, x in enumerate(sums.values())})
+    ordered = Window.partitionBy(*keys).orderBy("__b", *order)
+    df = df.withColumns({f"__c{k}": F.when(F.col("__first"), F.lag(f"__n{k}").over(ordered) * F.col("__d")) for k in range(len(sums))})
+    out = {name: F.col(f"__n{k}") + F.coalesce(F.first(f"__c{k}").over(inside), F.lit(0.0)) * F.col("__p") for k, name in enumerate(sums)}
+    return df.withColumns(out).drop("__d", "__l", "__b", "__first", "__p", *[f"__{c}{k}" for k in range(len(sums)) for c in "nc"])
 
 
 def ewm_gaps(known: Column, position: Column, keys: Sequence[str], order: Sequence[str], alpha: float) -> tuple[Column, Column]:
     """(share, decay) of a recursive exponential mean (first value whole) over rows of which only some are ``known``.
 
-    After k unknown rows the old mean has weight (1 - alpha)^(k + 1) against alpha. With the running product P of the
-    decays, the mean is P times the growing sum of share x value / P over the known rows. Exact in double for some 3,000 rows per partition at alpha = 2/11, so partition by day.
+    After k unknown rows the old mean has weight (1 - alpha)^(k + 1) against alpha. The mean is the ``decayed_sums`` of
+    share x value over the known rows.
     """
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     gap = position - F.max(F.when(known, position)).over(before)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.series import densify, ewm_gaps, ewm_mean, ffill_bfill, growing, top_n_by
+from ..functions.series import decayed_sums, densify, ewm_gaps, ewm_means, ffill_bfill, growing, top_n_by
 from ..functions.times import ny_date, ny_wall, seconds, session_filter
 
 OHLC = ("open", "high", "low", "close")
@@ -17,10 +17,6 @@ METRICS = ("open", "high", "low", "close", "volume", "ema12", "ema26", "macd", "
 INDEX_UNDERLYINGS = ("SPX", "SPXW", "XSP", "XSPW", "VIX", "VIXW")
 
 
-def _position() -> Column:
-    return F.row_number().over(Window.partitionBy(*KEY).orderBy("window_start"))
-
-
 def _growing():
     return growing(KEY, ["window_start"])
 
@@ -41,8 +37,7 @@ def dense_bars(bars: DataFrame, top_n: int = 0) -> DataFrame:
 
 
 def macd(df: DataFrame) -> DataFrame:
-    i, w = _position(), _growing()
-    df = df.withColumns({"ema12": ewm_mean(F.col("close"), i, w, 2 / 13), "ema26": ewm_mean(F.col("close"), i, w, 2 / 27)})
+    df = ewm_means(df, KEY, ["window_start"], {"ema12": (F.col("close"), 2 / 13), "ema26": (F.col("close"), 2 / 27)})
     return df.withColumn("macd", F.col("ema12") - F.col("ema26"))
 
 
@@ -51,8 +46,7 @@ def rsi(df: DataFrame, n: int = 14) -> DataFrame:
     order = Window.partitionBy(*KEY).orderBy("window_start")
     change = F.col("close") - F.lag("close").over(order)
     df = df.withColumns({"__gain": F.coalesce(F.greatest(change, F.lit(0.0)), F.lit(0.0)), "__loss": F.coalesce(F.greatest(-change, F.lit(0.0)), F.lit(0.0))})
-    i, w = _position(), _growing()
-    df = df.withColumns({"__up": ewm_mean(F.col("__gain"), i, w, 1 / n), "__down": ewm_mean(F.col("__loss"), i, w, 1 / n)})
+    df = ewm_means(df, KEY, ["window_start"], {"__up": (F.col("__gain"), 1 / n), "__down": (F.col("__loss"), 1 / n)})
     raw = F.when((F.col("__down") == 0) & (F.col("__up") > 0), F.lit(100.0)).when(
         F.col("__down") > 0, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide("__up", "__down"))
     )
@@ -138,11 +132,9 @@ def option_flow_matrix(bars: DataFrame, n: int = 1024, span: int = 10) -> DataFr
     known = F.col("x").isNotNull() | ~F.coalesce("__any", F.lit(False))
     keys, order = ["date", "underlying", "type"], ["i"]
     share, decay = ewm_gaps(known, F.col("i"), keys, order, 2 / (span + 1))
-    w = growing(keys, order)
-    rows = rows.withColumns({"__share": share, "__decay": decay}).withColumn("__p", F.product("__decay").over(w))
-    # both means have the factor P, so it falls out of their ratio
-    part = lambda c: F.sum(F.when(known, F.col("__share") * F.coalesce(F.col(f"x.{c}").cast("double"), F.lit(0.0)) / F.col("__p"))).over(w)
-    mean = F.when(F.col("__has"), F.coalesce(F.try_divide(part("vs"), part("v")), F.lit(0.0)))
+    part = lambda c: F.when(known, F.col("__share") * F.coalesce(F.col(f"x.{c}").cast("double"), F.lit(0.0)))
+    rows = decayed_sums(rows.withColumns({"__share": share, "__decay": decay}), keys, order, F.col("__decay"), {"__vs": part("vs"), "__v": part("v")})
+    mean = F.when(F.col("__has"), F.coalesce(F.try_divide("__vs", "__v"), F.lit(0.0)))
     flat = rows.select("date", "underlying", "type", "window_start", F.coalesce("x.v", F.lit(0)).alias("n"), mean.alias("m"))
     of = lambda t, c: F.max(F.when(F.col("type") == t, F.col(c)))
     return flat.groupBy("date", "window_start", "underlying").agg(

@@ -90,10 +90,10 @@ def test_recursive_mean_equals_pandas(spark):
         want = pd.Series(values, dtype=float).ewm(span=10, adjust=False).mean()
         df = frame(spark, list(enumerate(values)), "i int, v double").withColumn("k", F.lit(1))
         share, decay = series.ewm_gaps(F.col("v").isNotNull(), F.col("i"), ["k"], ["i"], 2 / 11)
-        w = series.growing(["k"], ["i"])
-        df = df.withColumns({"share": share, "decay": decay}).withColumn("p", F.product("decay").over(w))
-        got = df.withColumn("mean", F.col("p") * F.sum(F.when(F.col("v").isNotNull(), F.col("share") * F.col("v") / F.col("p"))).over(w)).orderBy("i").collect()
-        np.testing.assert_allclose(np.array([r["mean"] for r in got], float), want)
+        df = series.decayed_sums(df.withColumns({"share": share, "decay": decay}), ["k"], ["i"], F.col("decay"), {"mean": F.col("share") * F.col("v")})
+        got = df.orderBy("i").collect()
+        seen = want.notna()
+        np.testing.assert_allclose(np.array([r["mean"] for r in got], float)[seen], want[seen])
 
 
 # ---- adjustment
