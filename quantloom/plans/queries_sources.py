@@ -34,6 +34,13 @@ def _file(spark, df, what: str, absent=()):
     return path
 
 
+def _one_gzip(spark, df, what: str):
+    """All rows in one gzip file, as the large feeds come."""
+    path = shared_path(spark, what)
+    df.coalesce(1).write.option("header", True).option("compression", "gzip").csv(path)
+    return path
+
+
 _F32 = lambda c: f"CAST({c} AS FLOAT) AS {c}"
 
 
@@ -76,7 +83,7 @@ def _symbol():
 def i5(spark, sf):
     rows = _quotes(v.option_quotes(spark, sf), _symbol())
     junk = rows.withColumn("ticker", F.lit("O:NOT AN OPTION"))  # dropped by the reader
-    return readers.read_option_quotes_csv(spark, _file(spark, rows.unionByName(junk), "option-quotes", ["bid_exchange"]), mixed=True).select("underlying", "expiry", "type", "strike", "bid_price", "bid_size", "sip_ns")
+    return readers.read_option_quotes_csv(spark, _one_gzip(spark, rows.unionByName(junk), "option-quotes")).select("underlying", "expiry", "type", "strike", "bid_price", "bid_size", "sip_ns")
 
 
 @query("i6_option_trades_csv", with_views("v_option_trades") + " FINAL SELECT upper(underlying) AS underlying, expiry, type, strike, price, size, epoch_us(ts) * 1000 AS sip_ns FROM v_option_trades", dbl=("strike", "price"), big=("expiry", "size"))

@@ -27,9 +27,27 @@ def instant(name: str) -> Column:
 WIDEST = 64
 
 
-def _csv(spark: SparkSession, path, schema: str, keys: tuple[str, ...], mixed: bool) -> DataFrame:
+#: Lines of a file that are dealt out together.
+DEALT_LINES = 1 << 15
+
+
+def deal_lines(spark: SparkSession, path, lines: int = DEALT_LINES) -> DataFrame:
+    """(file, line) of text files, plain or gzip, dealt over tasks in blocks of ``lines`` consecutive lines of a file.
+
+    A gzip file can't be split: one task has to unpack it. Here it does no more than that; it streams the lines on as they
+    come, holding one block of the codec, and everything after (fields, types, tickers, sorting) is spread by the bytes of the
+    blocks, however few files there are. The file is read once.
+    """
+    text = spark.read.option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    block = F.struct("file", F.expr(f"monotonically_increasing_id() div {lines}"))
+    return text.filter("line <> ''").withColumn("__block", F.xxhash64(block)).hint("rebalance", "__block").drop("__block")
+
+
+def _csv(spark: SparkSession, path, schema: str, keys: tuple[str, ...], mixed: bool, deal: bool = False) -> DataFrame:
     """CSV by header names, gzip or plain, with a null column for each that is absent; unreadable and empty files give no rows.
 
+    ``deal``: lines are dealt over tasks before they are parsed, for few large gzip files; a field then can't hold a line break.
+
     All files must have one header, and the job fails at a file with another; with ``mixed`` every file's own header
     counts (headers are a scan of their own). A file without one of the ``keys`` fails, or the call does. (Spark's own
     check of headers can't be used: a file that fails it counts as corrupt and would be skipped.)
@@ -41,8 +59,13 @@ def _csv(spark: SparkSession, path, schema: str, keys: tuple[str, ...], mixed: b
     if expected and missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}; there are {', '.join(expected)}")
     names = [f"c{i}" for i in range(len(expected) + 1 if expected else WIDEST)]
-    cells = raw.option("header", False).schema(", ".join(f"{n} string" for n in names)).csv(path)
-    lines = cells.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("cells"))
+    fields = ", ".join(f"{n} string" for n in names)
+    if deal:
+        cells = deal_lines(spark, path).select("file", F.from_csv("line", fields, {"mode": "PERMISSIVE"}).alias("c"))
+        lines = cells.select("file", F.array(*[f"c.{n}" for n in names]).alias("cells"))
+    else:
+        cells = raw.option("header", False).schema(fields).csv(path)
+        lines = cells.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("cells"))
     trimmed = F.transform("cells", lambda c: F.trim(c))
     is_head = F.array_contains(trimmed, keys[0])
     fails = lambda text: F.raise_error(F.concat(F.lit(text), "file")).cast("boolean")
@@ -101,16 +124,25 @@ def read_stock_trades_csv(spark: SparkSession, path, mixed: bool = False) -> Dat
     return df.sortWithinPartitions("ticker", "sip_ns", "sequence_number")
 
 
-def read_option_quotes_csv(spark: SparkSession, path, mixed: bool = False) -> DataFrame:
-    """Option quotes by underlying and time; tickers that don't parse are dropped."""
-    df = parse_option_ticker(_ticks(_csv(spark, path, QUOTES, _TICK_KEYS, mixed)), on_invalid="drop")
-    return df.repartition("date", "underlying").sortWithinPartitions("date", "underlying", "sip_ns")
+def _by_underlying(ticks: DataFrame, *order: str) -> DataFrame:
+    """Sorted runs of each date and underlying: an underlying with many rows is split over tasks, small ones share one."""
+    return ticks.hint("rebalance", "date", "underlying").sortWithinPartitions("date", "underlying", *order)
+
+
+def read_option_quotes_csv(spark: SparkSession, path, mixed: bool = False, deal: bool = True) -> DataFrame:
+    """Option quotes by underlying and time; tickers that don't parse are dropped.
+
+    A feed of one large gzip file is read once and dealt over all tasks (``deal``). Each task returns sorted runs; an
+    underlying that is larger than a task's share lies in several.
+    """
+    df = parse_option_ticker(_ticks(_csv(spark, path, QUOTES, _TICK_KEYS, mixed, deal)), on_invalid="drop")
+    return _by_underlying(df, "sip_ns")
 
 
-def read_option_trades_csv(spark: SparkSession, path, on_invalid: str = "error", mixed: bool = False) -> DataFrame:
-    """Option trades by underlying, expiry, type, strike and time; a bad ticker fails the job unless told otherwise."""
-    df = parse_option_ticker(_ticks(_csv(spark, path, OPTION_TRADES, _TICK_KEYS, mixed)), on_invalid=on_invalid)
-    return df.repartition("date", "underlying").sortWithinPartitions("date", "underlying", "expiry", "type", "strike", "sip_ns")
+def read_option_trades_csv(spark: SparkSession, path, on_invalid: str = "error", mixed: bool = False, deal: bool = True) -> DataFrame:
+    """Option trades by underlying, expiry, type, strike and time, dealt as quotes are; a bad ticker fails the job unless told otherwise."""
+    df = parse_option_ticker(_ticks(_csv(spark, path, OPTION_TRADES, _TICK_KEYS, mixed, deal)), on_invalid=on_invalid)
+    return _by_underlying(df, "expiry", "type", "strike", "sip_ns")
 
 
 def read_press_json(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
