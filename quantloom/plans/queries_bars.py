@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..functions.series import densify, top_n_by
+from ..functions.shared import shared_path
 from ..operators import adjust, consolidate, matrix, ticks
+from ..sources import sinks, stored
 from . import views as v
 from .registry import query
 from .views import with_views
@@ -70,6 +72,47 @@ def t5_newer(spark, sf):
     return consolidate.append_bars(*_halves(spark, sf), mode="newer_only")
 
 
+@query(
+    "t5_merge_stored",
+    _APPEND + """ FINAL SELECT ticker, window_start, close, CAST(date_trunc('month', window_start) AS DATE) AS month FROM (SELECT * FROM new UNION ALL SELECT * FROM old
+                  WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.ticker = old.ticker AND new.window_start = old.window_start))""",
+    dbl=("close",), txt=("window_start", "month"),
+)
+def t5_stored(spark, sf):
+    """Two merges into a stored table; the second reads and rewrites only months that it has rows of."""
+    path = shared_path(spark, "bars")
+    for part in _halves(spark, sf):
+        stored.merge_into(part.withColumn("month", F.trunc("window_start", "month")), path, partition="month")
+    return spark.read.parquet(path)
+
+
+@query(
+    "t5_merge_newer_only",
+    _APPEND + """ FINAL SELECT *, CAST(date_trunc('month', window_start) AS DATE) AS month FROM (SELECT * FROM old UNION ALL SELECT new.* FROM new LEFT JOIN (SELECT ticker, max(window_start) AS high FROM old GROUP BY ticker) h
+                  ON new.ticker = h.ticker WHERE high IS NULL OR window_start > high)""",
+    dbl=("close",), txt=("window_start", "month"),
+)
+def t5_stored_newer(spark, sf):
+    """As above with the table of latest times: what isn't later than a ticker's latest bar is left out, without reading bars for it."""
+    path = shared_path(spark, "bars")
+    for part in _halves(spark, sf):
+        stored.merge_into(part.withColumn("month", F.trunc("window_start", "month")), f"{path}/bars", partition="month", marks=f"{path}/marks")
+    return spark.read.parquet(f"{path}/bars")
+
+
+@query(
+    "t3_latest_month_stored",
+    with_views("v_day_bars") + " FINAL SELECT ticker, window_start, close, CAST(date_trunc('month', window_start) AS DATE) AS month FROM v_day_bars WHERE date_trunc('month', window_start) = (SELECT max(date_trunc('month', window_start)) FROM v_day_bars)",
+    dbl=("close",), txt=("window_start", "month"),
+)
+def t3_stored(spark, sf):
+    """The latest partition of a stored table, from the names of its folders."""
+    path = shared_path(spark, "bars")
+    bars = v.day_bars(spark, sf).select("ticker", "window_start", "close")
+    sinks.write_table(bars.withColumn("month", F.trunc("window_start", "month")), path, ["month"])
+    return stored.read_latest(spark, path, "month")
+
+
 @query("t6_ny_date", "SELECT event_id, CAST(ts - INTERVAL 5 HOUR AS DATE) AS date FROM events", txt=("date",))
 def t6(spark, sf):
     e = v.table(spark, sf, "events")  # January: New York is 5 hours behind UTC

@@ -9,7 +9,7 @@ from ..functions import times
 from ..functions.series import upsert
 from ..functions.shared import shared_path
 from ..operators import consolidate, options
-from ..sources import readers, sinks
+from ..sources import readers, sinks, stored
 from ..streaming import incremental
 from . import views as v
 from .daily import DailyConfig, run_daily
@@ -189,6 +189,31 @@ def i12(spark, sf):
     return spark.read.parquet(f"{base}/out").groupBy("ticker", "date").agg(F.count("*").alias("n"), F.sum("size").alias("volume"))
 
 
+_NEWEST = """ FINAL SELECT ticker, CAST(ts AS DATE) AS date, seq, CASE WHEN seq % 5 = 0 THEN price + 2 WHEN seq % 3 = 0 THEN price + 1 ELSE price END AS price FROM v_trades"""
+
+
+def _three_versions(spark, sf) -> str:
+    """All trades, then corrections of every third, then of every fifth of them."""
+    path = shared_path(spark, "versions")
+    trades = v.trades(spark, sf).select("ticker", F.to_date("ts").alias("date"), "seq", "price")
+    for batch, (step, more) in enumerate(((1, 0), (3, 1), (5, 2))):
+        stored.write_version(trades.filter(F.col("seq") % step == 0).withColumn("price", F.col("price") + more), path, batch)
+    return path
+
+
+@query("i12_versions_before_compaction", with_views("v_trades") + _NEWEST, dbl=("price",), txt=("date",))
+def i12_versions(spark, sf):
+    return stored.read_current(spark, _three_versions(spark, sf), ["ticker", "seq"])
+
+
+@query("i12_versions_after_compaction", with_views("v_trades") + _NEWEST, dbl=("price",), txt=("date",))
+def i12_compacted(spark, sf):
+    path = _three_versions(spark, sf)
+    stored.compact(spark, path, ["ticker", "seq"])
+    stored.vacuum(spark, path)
+    return stored.read_current(spark, path, ["ticker", "seq"])
+
+
 @query("i13_partitioned_sink", with_views("v_minute_bars") + " FINAL SELECT ticker, window_start, close, CAST(window_start AS DATE) AS date FROM v_minute_bars", dbl=("close",), txt=("window_start", "date"))
 def i13(spark, sf):
     path = shared_path(spark, "table")
