@@ -14,8 +14,8 @@ both, and sizes of the parts bound what they share. A pair that passes is verifi
 
 ``jaccard_links`` gives every link. ``jaccard_components`` needs only what connects, so a group of n near copies doesn't take
 n^2 pairs: in each list of sets with a common prefix shingle, all are first verified against one hub (the set with the fewest
-rarer shingles, mostly the one that the others were made from), then what is still apart against a second one, then every
-pair of the list that lies in different components. A list's hubs and members come from joins and partial aggregates on the
+rarer shingles, mostly the one that the others were made from), then what is still apart against others, as long as that
+joins a good part of it, then every pair of the list that lies in different components. A list's hubs and members come from joins and partial aggregates on the
 shingle, so a shingle that a third of all sets share is spread over tasks.
 """
 
@@ -42,6 +42,8 @@ LEVELS = (2, 8, 64)
 #: Most cells in a row of the sketch: 64 MB for each level.
 MAX_WIDTH = 1 << 28
 FACTOR = 0x9FB21C651E98DF25
+#: Another round of hubs follows while one leaves at most this share of the members of lists apart from the main component.
+FEWER = 0.7
 #: How deep the suffix filter splits.
 DEPTH = 3
 
@@ -258,14 +260,20 @@ def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     votes = stars.toDF("a", "b", "cls", "hub").groupBy("a", "b", "cls", "hub").count()
     done = cut(votes.groupBy("cls").agg(F.max_by(F.struct("a", "b"), F.struct("count", "hub")).alias("p")).select("p.a", "p.b").distinct())
     links = cut(_links(done, sets))
-    for last in (False, True):
+    turn, before = 0, None
+    while True:
         found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         rooted = lists.select("tok", "cls", "n", "pos", "rank").join(found, F.col("cls") == F.col("node"), "left").select("tok", "cls", "n", "pos", "rank", F.coalesce("root", "cls").alias("comp"))
-        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls"), "pos", "n", "cls", "rank")).alias("some"))
+        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "pos", "n", "cls", "rank")).alias("some"))
         # of each list that is still apart the component with most members, and a member of it
         apart = by.groupBy("tok").agg(F.count("*").alias("comps"), F.max_by(F.struct("comp", "some"), F.struct("c", "comp")).alias("main")).filter("comps > 1")
         open_lists = cut(rooted.join(apart.select("tok", F.col("main.comp").alias("main"), F.col("main.some").alias("hub")), "tok"))
         others = open_lists.filter("comp <> main")
+        n = others.count()
+        if not n:
+            return links
+        last = before is not None and n > FEWER * before
+        turn, before = turn + 1, n
         if last:  # every pair that is apart has one set outside the main component; of two such sets each pair once
             differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
             pairs = _candidates(others, open_lists, differ)
@@ -274,7 +282,8 @@ def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         new = cut(pairs.join(done, ["a", "b"], "left_anti"))
         done = done.unionByName(new)
         links = links.unionByName(cut(_links(new, sets)))
-    return links
+        if last:
+            return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
