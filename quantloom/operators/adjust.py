@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.asof import asof_join
 from ..functions.times import ny_date
 
 PRICES = ("open", "high", "low", "close")
@@ -75,3 +76,42 @@ def adjust_combined(bars: DataFrame, splits: DataFrame, dividends: DataFrame, vo
         {f"adj_{c}": F.col(c) * F.col("cum") for c in PRICES} | {"adj_volume": (F.col("volume") * scale).cast("long")}
     )
     return done.drop("cum", "split_cum", "window_start")
+
+
+def factor_intervals(daily: DataFrame, splits: DataFrame, dividends: DataFrame, zero_close: str = "one") -> DataFrame:
+    """(ticker, date, cum, split_cum) of every event day that has a bar: what bars before that date, and from the event before on, are multiplied by.
+
+    ``daily`` holds (ticker, date, close); only event days of it are read past the scan. The table has a row for each event,
+    so it stays small beside the bars, and a late event changes rows of its own ticker only.
+    """
+    days = splits.select("ticker", F.col("execution_date").alias("date")).unionByName(dividends.select("ticker", F.col("ex_dividend_date").alias("date"))).distinct()
+    f = _factors(daily.select("ticker", "date", "close").join(days, ["ticker", "date"], "left_semi"), splits, dividends)
+    f = f.withColumns({"__f": _day_factor(zero_close), "__s": F.lit(1.0) / F.coalesce("split", F.lit(1.0))})
+    on = Window.partitionBy("ticker").orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return f.select("ticker", "date", *[F.coalesce(F.product(c).over(on), F.lit(1.0)).alias(n) for c, n in (("__f", "cum"), ("__s", "split_cum"))])
+
+
+def late_events(intervals: DataFrame, daily: DataFrame, splits: DataFrame, dividends: DataFrame, tickers: DataFrame, zero_close: str = "one") -> DataFrame:
+    """The intervals after events came in for ``tickers``: theirs are made anew from all their events, the others stay as they are."""
+    asked = tickers.select("ticker").distinct()
+    own = lambda df: df.join(asked, "ticker", "left_semi")
+    return intervals.join(asked, "ticker", "left_anti").unionByName(factor_intervals(own(daily), own(splits), own(dividends), zero_close))
+
+
+def adjust_by_intervals(bars: DataFrame, intervals: DataFrame, volume_mode: str | None = None) -> DataFrame:
+    """``adjust_bars`` from a stored interval table: each bar takes the factor of its ticker's next event after its date.
+
+    An as-of join, linear in bars and events; no close is looked up and no product is built over bars. With a volume_mode
+    also adj_volume, as ``adjust_combined`` has it.
+    """
+    if volume_mode not in (None, "reference", "inverse"):
+        raise ValueError(f"unknown volume_mode {volume_mode!r}")
+    dated = _dated(bars)
+    found = intervals.select("ticker", F.col("date").alias("__on"), F.col("cum").alias("__cum"), F.col("split_cum").alias("__split"))
+    done = asof_join(dated, found, ["ticker"], "date", "__on", ["__cum", "__split"], "forward", exact=False)
+    cum, split = (F.coalesce(c, F.lit(1.0)) for c in ("__cum", "__split"))
+    more = [(F.col(c) * cum).alias(f"adj_{c}") for c in PRICES]
+    if volume_mode:
+        scale = split if volume_mode == "reference" else F.try_divide(F.lit(1.0), split)
+        more.append((F.col("volume") * scale).cast("long").alias("adj_volume"))
+    return done.select(*dated.columns, *more)
