@@ -14,8 +14,8 @@ both, and sizes of the parts bound what they share. A pair that passes is verifi
 
 ``jaccard_links`` gives every link. ``jaccard_components`` needs only what connects, so a group of n near copies doesn't take
 n^2 pairs: in each list of sets with a common prefix shingle, all are first verified against one hub (the set with the fewest
-rarer shingles, mostly the one that the others were made from), then what is still apart against others, as long as that
-joins a good part of it, then every pair of the list that lies in different components. A list's hubs and members come from joins and partial aggregates on the
+rarer shingles, mostly the one that the others were made from), then what is still apart against a second one, then every
+pair of the list that lies in different components. A list's hubs and members come from joins and partial aggregates on the
 shingle, so a shingle that a third of all sets share is spread over tasks.
 """
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sketch
@@ -42,8 +42,6 @@ LEVELS = (2, 8, 64)
 #: Most cells in a row of the sketch: 64 MB for each level.
 MAX_WIDTH = 1 << 28
 FACTOR = 0x9FB21C651E98DF25
-#: Another round of hubs follows while one leaves at most this share of the members of lists apart from the main component.
-FEWER = 0.7
 #: How deep the suffix filter splits.
 DEPTH = 3
 
@@ -145,14 +143,16 @@ def _marks(docs: DataFrame) -> DataFrame:
 
 
 def _lists(marks: DataFrame) -> DataFrame:
-    """(tok, cls, n, pos, rank) of prefix shingles that several classes have; hub: the member with the fewest rarer shingles.
+    """(tok, cls, n, pos, rank, prev) of prefix shingles that several classes have; hub: the member with the fewest rarer shingles.
 
-    rank: how many of the ``pos`` shingles before it may be in other texts at all.
+    rank: how many of the ``pos`` shingles before it are in other texts' prefixes too; prev: the last of these.
     """
     rows = marks.select("cls", "n", F.posexplode(F.arrays_zip("toks", "poss")).alias("rank", "e")).select(F.col("e.toks").alias("tok"), "cls", "n", F.col("e.poss").alias("pos"), "rank")
     rows = stored(rows.distinct(), "prefixes")  # copies are one class
     of = rows.groupBy("tok").agg(F.count("*").alias("m"), F.min(F.struct("pos", "n", "cls", "rank")).alias("hub")).filter("m > 1").select("tok", "hub")
-    return stored(rows.join(of, "tok"), "lists")
+    own = Window.partitionBy("cls").orderBy("pos")
+    ranked = rows.join(of, "tok").withColumns({"rank": F.row_number().over(own) - 1, "prev": F.lag("tok").over(own)})
+    return stored(ranked, "lists")
 
 
 def _passes(x: dict[str, Column], y: dict[str, Column], first: bool) -> Column:
@@ -224,7 +224,8 @@ def _ordered_pairs(x: Column, y: Column) -> list[Column]:
 def _candidates(some: DataFrame, lists: DataFrame, apart: Column | None = None) -> DataFrame:
     """Pairs (a, b) of a set of ``some`` and one of ``lists`` that pass all filters at their first common prefix shingle, each once."""
     x, y = some.alias("x"), lists.alias("y")
-    which = (F.col("x.cls") != F.col("y.cls")) if apart is None else apart
+    # sets that have the same shingle before this one have met there already; their first common one is never left out
+    which = ~F.coalesce(F.col("x.prev") == F.col("y.prev"), F.lit(False)) & ((F.col("x.cls") != F.col("y.cls")) if apart is None else apart)
     ordered = F.col("x.cls") < F.col("y.cls")
     ends = [F.when(ordered, F.col(f"{p}.{c}")).otherwise(F.col(f"{q}.{c}")).alias(f"{c}_{k}") for k, p, q in (("a", "x", "y"), ("b", "y", "x")) for c in ("cls", "n", "pos")]
     # a pair that fails at one common shingle is not linked, so what is found at the others of it does no harm
@@ -240,7 +241,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Equal sets are linked by being one class. Rows without words have a class of size 0 without links.
     """
     source, marks, lists, sets = _prepared(docs, id_col, text_col)
-    some = lists.select("tok", "cls", "n", "pos", "rank")
+    some = lists.select("tok", "cls", "n", "pos", "rank", "prev")
     pairs = _candidates(some, some, F.col("x.cls") < F.col("y.cls"))
     return marks.select(F.col("id").alias(id_col), "cls", "n"), _links(cut(pairs), sets)
 
@@ -260,20 +261,14 @@ def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
     votes = stars.toDF("a", "b", "cls", "hub").groupBy("a", "b", "cls", "hub").count()
     done = cut(votes.groupBy("cls").agg(F.max_by(F.struct("a", "b"), F.struct("count", "hub")).alias("p")).select("p.a", "p.b").distinct())
     links = cut(_links(done, sets))
-    turn, before = 0, None
-    while True:
+    for last in (False, True):
         found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        rooted = lists.select("tok", "cls", "n", "pos", "rank").join(found, F.col("cls") == F.col("node"), "left").select("tok", "cls", "n", "pos", "rank", F.coalesce("root", "cls").alias("comp"))
-        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "pos", "n", "cls", "rank")).alias("some"))
+        rooted = lists.select("tok", "cls", "n", "pos", "rank", "prev").join(found, F.col("cls") == F.col("node"), "left").select("tok", "cls", "n", "pos", "rank", "prev", F.coalesce("root", "cls").alias("comp"))
+        by = rooted.groupBy("tok", "comp").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("cls"), "pos", "n", "cls", "rank")).alias("some"))
         # of each list that is still apart the component with most members, and a member of it
         apart = by.groupBy("tok").agg(F.count("*").alias("comps"), F.max_by(F.struct("comp", "some"), F.struct("c", "comp")).alias("main")).filter("comps > 1")
         open_lists = cut(rooted.join(apart.select("tok", F.col("main.comp").alias("main"), F.col("main.some").alias("hub")), "tok"))
         others = open_lists.filter("comp <> main")
-        n = others.count()
-        if not n:
-            return links
-        last = before is not None and n > FEWER * before
-        turn, before = turn + 1, n
         if last:  # every pair that is apart has one set outside the main component; of two such sets each pair once
             differ = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls")))
             pairs = _candidates(others, open_lists, differ)
@@ -282,8 +277,7 @@ def _spanning_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         new = cut(pairs.join(done, ["a", "b"], "left_anti"))
         done = done.unionByName(new)
         links = links.unionByName(cut(_links(new, sets)))
-        if last:
-            return links
+    return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
