@@ -48,10 +48,15 @@ def _dated(bars: DataFrame) -> DataFrame:
     return bars if "date" in bars.columns else bars.withColumn("date", ny_date(bars, "window_start"))
 
 
+def daily_closes(bars: DataFrame) -> DataFrame:
+    """(ticker, date, close): the close of each day's last bar."""
+    return _dated(bars).groupBy("ticker", "date").agg(F.max_by("close", "window_start").alias("close"))
+
+
 def adjust_bars(bars: DataFrame, splits: DataFrame, dividends: DataFrame, zero_close: str = "one") -> DataFrame:
     """Day or minute bars with adj_open, adj_high, adj_low, adj_close. A day's reference close is that of its last bar."""
     dated = _dated(bars)
-    daily = dated.groupBy("ticker", "date").agg(F.max_by("close", "window_start").alias("close"))
+    daily = daily_closes(dated)
     cum = cumulative_factors(daily, splits, dividends, zero_close).select("ticker", "date", "cum")
     done = dated.join(cum, ["ticker", "date"], "left").withColumns({f"adj_{c}": F.col(c) * F.col("cum") for c in PRICES})
     return done.select(*dated.columns, *[f"adj_{c}" for c in PRICES])

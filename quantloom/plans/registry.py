@@ -10,12 +10,14 @@ from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_ROUNDED: dict[str, tuple[str, ...]] = {}
 
 
 def query(name: str, sql: str | None = None, dbl: tuple[str, ...] = (), txt: tuple[str, ...] = (), big: tuple[str, ...] = ()):
     """Registers a function as query ``name``. ``sql`` gives the same rows; dbl, txt and big name its columns to round, to make text, to make 64-bit."""
 
     def register(f):
+        _ROUNDED[name] = dbl
         QUERIES[name] = lambda spark, sf_dir: presented(f(spark, sf_dir), dbl)
         if sql is not None:
             swaps = [f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in dbl] + [f"CAST({c} AS VARCHAR) AS {c}" for c in txt] + [f"CAST({c} AS BIGINT) AS {c}" for c in big]
@@ -25,6 +27,17 @@ def query(name: str, sql: str | None = None, dbl: tuple[str, ...] = (), txt: tup
     return register
 
 
+def same_rows(name: str, of: str):
+    """Registers a function as query ``name`` that gives the rows of query ``of`` another way, under the same SQL."""
+
+    def register(f):
+        QUERIES[name] = lambda spark, sf_dir: presented(f(spark, sf_dir), _ROUNDED[of])
+        ORACLES[name] = ORACLES[of]
+        return f
+
+    return register
+
+
 def _finish(sql: str, select: str) -> str:
     """The body of ``sql`` (after its last FINAL mark) under the outer select."""
     head, mark, body = sql.rpartition("FINAL")

@@ -24,19 +24,24 @@ def _folder(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _folders(spark: SparkSession, path: str, name: str) -> dict[str, str]:
-    """Folders of a stored table by the value of its outermost partition column, in order; none if there is no table yet."""
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
     at, files = _folder(spark, path)
     if not files.exists(at):
-        return {}
-    names = [s.getPath().getName() for s in files.listStatus(at) if s.isDirectory()]
+        return []
+    return [p.toString().rsplit("/", 1)[1] for p in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.listStatus(at))]
+
+
+def folders(spark: SparkSession, path: str, name: str) -> dict[str, str]:
+    """Folders of a stored table by the value of its outermost partition column, in order; none if there is no table yet."""
+    names = _names(spark, path)
     found = {unquote(n.split("=", 1)[1]): n for n in names if n.startswith(f"{name}=") and not n.endswith(_NONE)}
     return dict(sorted(found.items()))
 
 
 def partition_values(spark: SparkSession, path: str, name: str = "date") -> list[str]:
     """The values, as text and in order, of the outermost partition column of a stored table."""
-    return list(_folders(spark, path, name))
+    return list(folders(spark, path, name))
 
 
 def latest_value(spark: SparkSession, path: str, name: str = "date") -> str | None:
@@ -44,7 +49,7 @@ def latest_value(spark: SparkSession, path: str, name: str = "date") -> str | No
     return max(partition_values(spark, path, name), default=None)
 
 
-def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+def read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
     """The rows of some folders; no other is listed or opened."""
     if not folders:
         return spark.read.parquet(path).filter(F.lit(False))
@@ -53,13 +58,47 @@ def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
 
 def read_latest(spark: SparkSession, path: str, name: str = "date") -> DataFrame:
     """The rows of the latest date of a stored table."""
-    return _read(spark, path, list(_folders(spark, path, name).values())[-1:])
+    return read_folders(spark, path, list(folders(spark, path, name).values())[-1:])
 
 
 def read_recent(spark: SparkSession, path: str, days: int, name: str = "date") -> DataFrame:
     """The dates from ``days`` calendar days before the latest one on, both ends inclusive."""
-    found = {date.fromisoformat(v): f for v, f in _folders(spark, path, name).items()}
-    return _read(spark, path, [f for v, f in found.items() if v >= max(found) - timedelta(days=days)])
+    found = {date.fromisoformat(v): f for v, f in folders(spark, path, name).items()}
+    return read_folders(spark, path, [f for v, f in found.items() if v >= max(found) - timedelta(days=days)])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _folder(spark, path)
+    return files.exists(at)
+
+
+def signatures(spark: SparkSession, path: str, name: str = "date") -> dict[str, str]:
+    """For each partition value of a stored table a digest of its files' paths, sizes and times: a row for each comes to the driver, and no file is opened."""
+    if not partition_values(spark, path, name):
+        return {}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    value = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    one = F.concat_ws(" ", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+    found = files.filter(value != "").groupBy(value.alias("v")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(one)), "\n"), 256).alias("s"))
+    return {unquote(r.v): r.s for r in found.collect()}
+
+
+def numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    return [int(v) for v in partition_values(spark, path, name)]
+
+
+def read_values(spark: SparkSession, path: str, values: Sequence[str], name: str = "date") -> DataFrame:
+    """The rows of some partition values; no other folder is listed or opened."""
+    found = folders(spark, path, name)
+    return read_folders(spark, path, [found[v] for v in values if v in found])
+
+
+def drop_partitions(spark: SparkSession, path: str, values: Sequence[str], name: str = "date") -> None:
+    found = folders(spark, path, name) if values else {}
+    for value in values:
+        if value in found:
+            at, files = _folder(spark, f"{path}/{found[value]}")
+            files.delete(at, True)
 
 
 def _touched(new: DataFrame, name: str) -> list:
@@ -121,12 +160,10 @@ def read_current(spark: SparkSession, path: str, keys: Sequence[str], partition:
 
 def _versions(spark: SparkSession, path: str, partition: str) -> dict[str, list[int]]:
     """Versions of each partition value, from the names of folders."""
-    at, files = _folder(spark, path)
     out = {}
-    for s in files.listStatus(at):
-        name = s.getPath().getName()
-        if s.isDirectory() and name.startswith(f"{partition}="):
-            out[name] = sorted(int(v.getPath().getName().split("=", 1)[1]) for v in files.listStatus(s.getPath()) if v.getPath().getName().startswith("version="))
+    for name in _names(spark, path):
+        if name.startswith(f"{partition}="):
+            out[name] = sorted(int(v.split("=", 1)[1]) for v in _names(spark, f"{path}/{name}") if v.startswith("version="))
     return out
 
 
