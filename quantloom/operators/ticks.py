@@ -37,26 +37,39 @@ def resample_trades(trades: DataFrame, keys: Sequence[str], interval: int) -> Da
     )
 
 
-def dense_sides(trades: DataFrame, quotes: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
-    """Both sides per interval, each dense from its own first to its own last interval, merged as a full outer join would.
-
-    The two tick tables are stacked and aggregated once; a row is stretched to the next one, and kept where either side
-    covers it. Inside the trades' range an interval without trades has volume 0; outside of it everything of the trades is
-    null, and so for quotes.
-    """
-    all_keys = ["date", *keys]
-    order = F.struct("ts", "seq")
+def stacked(trades: DataFrame, quotes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both tick tables as one, ``is_trade`` telling them apart."""
     t = trades.select(*keys, "ts", "seq", "price", "size")
     q = quotes.select(*keys, "ts", "seq", *QUOTE)
-    both = t.withColumn("is_trade", F.lit(True)).unionByName(q.withColumn("is_trade", F.lit(False)), allowMissingColumns=True)
-    bars = _binned(both, interval).groupBy(*all_keys, "window_start").agg(
+    return t.withColumn("is_trade", F.lit(True)).unionByName(q.withColumn("is_trade", F.lit(False)), allowMissingColumns=True)
+
+
+def bin_values() -> list[Column]:
+    """Aggregates of one interval of stacked ticks: the last value of everything, the volume, and which sides have ticks."""
+    order = F.struct("ts", "seq")
+    return [
         last_value("price", order).alias("last"),
         last_value("size", order).alias("last_size"),
         F.sum("size").alias("volume"),
         *[last_value(c, order).alias(c) for c in QUOTE],
         F.bool_or("is_trade").alias("__t"),
         F.bool_or(~F.col("is_trade")).alias("__q"),
-    )
+    ]
+
+
+def dense_sides(trades: DataFrame, quotes: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
+    """Both sides per interval, each dense from its own first to its own last interval, merged as a full outer join would."""
+    both = _binned(stacked(trades, quotes, keys), interval)
+    return dense_bins(both.groupBy("date", *keys, "window_start").agg(*bin_values()), keys, interval)
+
+
+def dense_bins(bars: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
+    """``dense_sides`` from intervals that have ticks (``bin_values``).
+
+    A row is stretched to the next one, and kept where either side covers it. Inside the trades' range an interval without
+    trades has volume 0; outside of it everything of the trades is null, and so for quotes.
+    """
+    all_keys = ["date", *keys]
     key = Window.partitionBy(*all_keys)
     edge = lambda side, f: f(F.when(F.col(side), F.col("window_start"))).over(key)
     bars = bars.withColumns(
@@ -90,6 +103,11 @@ def drop_leading_incomplete(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
     return bars.withColumn("__on", F.max(complete).over(growing(["date", *keys], ["window_start"]))).filter("__on").drop("__on")
 
 
+def tq_bars_of_bins(bins: DataFrame, keys: Sequence[str], interval: int, ffill_volume: bool) -> DataFrame:
+    """Trade and quote bars from stored intervals, as ``streaming.incremental.stream_bins`` writes them."""
+    return drop_leading_incomplete(fill_ticks(dense_bins(bins, keys, interval), keys, ffill_volume), keys)
+
+
 def tq_bars(trades: DataFrame, quotes: DataFrame, keys: Sequence[str], interval: int, ffill_volume: bool) -> DataFrame:
     return drop_leading_incomplete(fill_ticks(dense_sides(trades, quotes, keys, interval), keys, ffill_volume), keys)
 

@@ -9,8 +9,9 @@ from ..functions.series import densify, top_n_by
 from ..functions.shared import shared_path
 from ..operators import adjust, consolidate, matrix, ticks
 from ..sources import sinks, stored
+from ..streaming import incremental
 from . import views as v
-from .registry import query
+from .registry import query, same_rows
 from .views import with_views
 
 BAR = ("open", "high", "low", "close")
@@ -439,6 +440,23 @@ def q7(spark, sf):
     return ticks.stock_tq_bars(v.trades(spark, sf), v.quotes(spark, sf), STEP)
 
 
+@same_rows("q7_stream_bins", "q7_stock_tq_bars")
+def q7_stream(spark, sf):
+    """The same bars from intervals that a stream has stored: ticks in any order, then one far ahead that moves the watermark past them."""
+    base = shared_path(spark, "stream")
+    sides = {"trades": v.trades(spark, sf), "quotes": v.quotes(spark, sf)}
+    for name, df in sides.items():
+        df.repartition(3, "seq").write.parquet(f"{base}/{name}")
+    read = lambda name: spark.readStream.schema(sides[name].schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}")
+    for _ in range(2):
+        bins = incremental.stream_bins(read("trades"), read("quotes"), ["ticker"], STEP, late="400 days")
+        bins.writeStream.format("parquet").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/bins").awaitTermination()
+        for name, df in sides.items():  # taken up by the second call
+            ahead = df.limit(1).withColumns({"ticker": F.lit(None).cast("string"), "ts": F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")})
+            ahead.write.mode("append").parquet(f"{base}/{name}")
+    return ticks.tq_bars_of_bins(spark.read.parquet(f"{base}/bins").filter("ticker IS NOT NULL"), ["ticker"], STEP, True)
+
+
 @query("q8_option_tq_bars", _OPTION_SQL + " FINAL SELECT * FROM fin", dbl=(*_PRICES, "strike"), txt=_TIMES, big=("volume", "expiry"))
 def q8(spark, sf):
     return ticks.option_tq_bars(v.option_trades(spark, sf), v.option_quotes(spark, sf), STEP)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ticks
+
 #: A day of files counts as complete above so many tickers or underlyings.
 COMPLETE = {"stock_quotes": 9000, "stock_trades": 9000, "option_trades": 3000, "option_quotes": 100}
 
@@ -40,3 +42,15 @@ def stream_trade_bars(trades: DataFrame, interval: str = "10 seconds", late: str
     return bars.agg(F.max_by("price", order).alias("last"), F.max_by("size", order).alias("last_size"), F.sum("size").alias("volume")).select(
         "ticker", F.col("w.start").alias("window_start"), "last", "last_size", "volume"
     )
+
+
+def stream_bins(trades: DataFrame, quotes: DataFrame, keys: Sequence[str], interval: int = 10, late: str = "1 minute") -> DataFrame:
+    """Intervals of two tick streams that have ticks, each once, when the watermark has passed it.
+
+    Holds the last values of open intervals only. Ticks later than ``late`` are left out and counted in the query's progress
+    (numRowsDroppedByWatermark). ``ticks.tq_bars_of_bins`` makes the dense bars of finished days from what a sink has stored.
+    """
+    both = ticks.stacked(trades, quotes, keys).withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need instants
+    bins = both.withWatermark("ts", late).groupBy(*keys, F.window("ts", f"{interval} seconds").alias("w")).agg(*ticks.bin_values())
+    start = F.col("w.start").cast("timestamp_ntz")
+    return bins.select(F.to_date(start).alias("date"), *keys, start.alias("window_start"), *[c for c in bins.columns if c not in (*keys, "w")])
