@@ -114,6 +114,24 @@ def i8_time(spark, sf):
     return e.select("event_id", times.parse_press_time(text).alias("published"))
 
 
+@query(
+    "i8_press_built",
+    """SELECT event_id, 'story-' || event_id AS slug, strftime(ts, '%b %-d, %Y %-I:%M%p') || ' EST' AS time_text, date_trunc('minute', ts) + INTERVAL 5 HOUR AS stamp,
+              'Title ' || event_id || chr(10) || 'inner ' || event_type || chr(10) || 'more' || chr(10) || 'tail & ' || event_id AS text FROM events""",
+    txt=("stamp",),
+)
+def i8_built(spark, sf):
+    """A page for every event, with several paragraphs, nested divs, an entity, and divs before and behind the body."""
+    e = v.table(spark, sf, "events")
+    parts = (
+        '<html><div class="nav">menu<div>x</div></div><time class="timestamp__date">', F.date_format("ts", "MMM d, yyyy h:mma"), ' EST</time><div class="body__content"><p>Title ', F.col("event_id").cast("string"),
+        '</p><div class="a"><div>inner ', F.col("event_type"), "</div><!-- <div> --><p>more</p></div><script>var s = '</div>';</script>tail &amp; ", F.col("event_id").cast("string"), '</div><div>footer</div></html>',
+    )
+    html = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    pages = e.select("event_id", F.concat(F.lit("https://example.com/news/story-"), F.col("event_id").cast("string"), F.lit("/")).alias("url"), html.alias("html"))
+    return readers.extract_press(pages).select("event_id", "slug", "time_text", F.col("timestamp").alias("stamp"), "text")
+
+
 _UPSERT = {
     "o": "SELECT ticker, execution_date AS date, split_to AS amount FROM v_splits",
     "n": "SELECT ticker, ex_dividend_date AS date, cash_amount AS amount FROM v_dividends",
