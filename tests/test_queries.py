@@ -26,7 +26,7 @@ def as_text(con, relation):
     return {c: f"printf('%.5f', CAST(\"{c}\" AS DOUBLE))" if real(k) else f'CAST("{c}" AS VARCHAR)' for c, k in kinds.items()}
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - {"i14_daily_pipeline"}))  # that one has a test of its own
 def test_query(spark, con, name):
     got = catalog.QUERIES[name](spark, SF)
     if name not in catalog.ORACLES:
