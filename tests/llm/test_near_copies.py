@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from quantloom.llm import near_copies
+from quantloom.llm import jaccard_join, near_copies
 from tests.llm.test_dedup import LAST, WORD
 
 
@@ -64,13 +64,46 @@ def test_components_match_brute_force(docs, rows, no_docs):
     assert near_copies.dedup_near_copies(docs).columns == docs.columns and near_copies.dedup_near_copies(no_docs).count() == 0
 
 
-@pytest.mark.parametrize(("texts", "words"), [(1 << 12, 1 << 22), (3, 1 << 22), (1 << 12, 900)])
-def test_the_stage_finds_pairs_of_similarity_08(spark, monkeypatch, texts, words):
-    """Also where a shard is cut into chunks by texts or by shingles."""
-    monkeypatch.setattr(near_copies, "CHUNK_TEXTS", texts)
-    monkeypatch.setattr(near_copies, "CHUNK_SHINGLES", words)
+@pytest.mark.parametrize(("nodes", "asking"), [(1 << 12, 1 << 14), (3, 1 << 14), (2, 2)])
+def test_the_stage_finds_pairs_of_similarity_08(spark, monkeypatch, nodes, asking):
+    """Also where a shard has several trees, and those that ask are dealt over tasks."""
+    monkeypatch.setattr(near_copies, "TREE_NODES", nodes)
+    monkeypatch.setattr(near_copies, "ASKING", asking)
     rows = near_rows()
     group = brute_groups([t for _, t in rows])
     kept = corpus_pipeline.one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert {r.doc_id for r in kept.collect()} == {i for i, c in enumerate(group) if i == c}
     assert len(rows) > len(set(group)) > 12  # some are linked, not all
+
+
+def test_trees_give_every_pair_that_is_apart_once(spark, monkeypatch):
+    """Members of one shard in several components, against all pairs; nodes and askers in several cells."""
+    monkeypatch.setattr(near_copies, "TREE_NODES", 7)
+    monkeypatch.setattr(near_copies, "ASKING", 5)
+    r = random.Random(11)
+    bases = [r.getrandbits(64) for _ in range(3)]
+    rows = []
+    for cls in range(60):
+        fp = bases[cls % 3]
+        for bit in r.sample(range(64), r.randrange(14)):
+            fp ^= 1 << bit
+        rows.append((5, cls, fp - (1 << 64) if fp >> 63 else fp, r.choice((80, 100, 110)), cls // 7, 2))
+    got = near_copies._dealt(spark.createDataFrame(rows, "key long, cls long, fp long, n long, comp long, main long")).collect()
+    want = {
+        (x[1], y[1]) for x in rows for y in rows
+        if x[1] < y[1] and x[4] != y[4] and ((x[2] ^ y[2]) & (2**64 - 1)).bit_count() <= near_copies.RADIUS and 10 * min(x[3], y[3]) >= 8 * max(x[3], y[3])
+    }
+    assert want and Counter(map(tuple, got)) == Counter(want)
+
+
+def test_a_large_group_of_copies_takes_pairs_in_proportion_to_its_size(spark, monkeypatch):
+    """2,000 edits of one text: one component, and no more pairs are compared than a few for each text."""
+    r = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, edited(r, base, i % 3)) for i in range(2000)]
+    compared = []
+    links = jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda pairs, sets: (compared.append(pairs.count()), links(pairs, sets))[1])
+    kept = near_copies.dedup_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
+    assert [r.doc_id for r in kept.collect()] == [0]
+    assert sum(compared) <= 3 * len(rows)
