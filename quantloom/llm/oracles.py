@@ -82,9 +82,9 @@ FROM g
 """
 
 LEDGER = r"""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, lang FROM documents),
 w AS (
-  SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  SELECT doc_id, text, lang, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM t),
 win AS (
@@ -93,7 +93,7 @@ win AS (
 dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM dup) GROUP BY doc_id),
 m AS (
-  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT w.doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
@@ -109,7 +109,7 @@ b AS (
   SELECT *, CAST(CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
          + CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 5 * n_lines AND n_dup_lines >= 3 THEN 8 ELSE 0 END
          + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
-         + CASE WHEN 10 * n_letter_words < 7 * n_words THEN 64 ELSE 0 END + CASE WHEN n_stop_words < 2 THEN 128 ELSE 0 END
+         + CASE WHEN 10 * n_letter_words < 7 * n_words THEN 64 ELSE 0 END + CASE WHEN n_stop_words < 2 AND lang IN ('en', 'de', 'fr', 'es') THEN 128 ELSE 0 END
          + CASE WHEN 10 * n_bullet_lines > 9 * n_lines THEN 256 ELSE 0 END
          + CASE WHEN 10 * n_ellipsis_lines > 3 * n_lines AND n_ellipsis_lines >= 3 THEN 512 ELSE 0 END
          + CASE WHEN 10 * n_sentence_lines < n_lines AND n_lines >= 5 THEN 1024 ELSE 0 END AS BIGINT) AS failed_bits

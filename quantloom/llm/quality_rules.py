@@ -21,6 +21,8 @@ STOP_WORDS = (
     "the", "be", "to", "of", "and", "that", "have", "with", "der", "die", "das", "und", "ist", "nicht",
     "le", "la", "les", "de", "et", "est", "que", "el", "los", "en", "y", "es",
 )
+#: The languages of these words; others have no such rule.
+STOP_WORD_LANGUAGES = ("en", "de", "fr", "es")
 #: Lines that begin with a bullet, end with an ellipsis, end as sentences do.
 BULLET, ELLIPSIS, SENTENCE = r"^[ \t]*[-*\u2022]", r"(\.\.\.|\u2026)[\x20\x09-\x0D]*$", r"[.!?\x22\u201D\u00BB][\x20\x09-\x0D]*$"
 
@@ -89,12 +91,14 @@ def repeat_words(array: Column) -> Column:
     return F.when(F.size(array) < 3, F.lit(0).cast("long")).otherwise(found)
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """The id with ``MEASURES``, all long. Lines are lines with a word; letter words have a letter of any script.
 
-    A null or empty text measures zero throughout. Repeated rows each get a row; an empty table gives none.
+    A null or empty text measures zero throughout. Repeated rows each get a row; an empty table gives none. With ``lang_col``
+    n_stop_words is null where the language is null or none of ``STOP_WORD_LANGUAGES``; without it all texts are taken as theirs.
     """
-    text = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    known = F.lit(True) if lang_col is None else F.col(lang_col).isin(*STOP_WORD_LANGUAGES)
+    text = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), known.alias("__known"))
     lines = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     count = lambda array, holds: F.size(F.filter(array, holds))
     facts = let(
@@ -103,7 +107,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.size(w).alias("n_words"),
             repeat_words(w).alias("n_repeat_words"),
             count(w, lambda x: x.rlike(r"\p{L}")).alias("n_letter_words"),
-            count(w, lambda x: ascii_lower(x).isin(*STOP_WORDS)).alias("n_stop_words"),
+            F.when(F.col("__known"), count(w, lambda x: ascii_lower(x).isin(*STOP_WORDS))).alias("n_stop_words"),
         ),
     )
     by_line = let(
@@ -126,21 +130,21 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return measured.select(F.col("__id").alias(id_col), *[F.col(c).cast("long").alias(c) for c in MEASURES])
 
 
-def ledger(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """Measurements and ``failed_bits`` of each row of ``docs``.
 
     A null or empty text measures zero throughout (so it fails ``few_words``). Repeated rows each get a row; an empty
-    table gives none. Other columns aren't read, so their names can't clash.
+    table gives none. Other columns aren't read, so their names can't clash. ``lang_col``: see ``measure``.
     """
     bits = F.lit(0).cast("long")
     for i, r in enumerate(rules):
         bits = bits.bitwiseOR(F.when(F.expr(r.fails), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-    return measure(docs, id_col, text_col).withColumn("failed_bits", bits)
+    return measure(docs, id_col, text_col, lang_col).withColumn("failed_bits", bits)
 
 
-def write_ledger(docs: DataFrame, path: str, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_ledger(docs: DataFrame, path: str, rules=RULES, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """The ledger of ``docs``, written to ``path`` as Parquet and read from there: policies and ablations don't see the texts again."""
-    ledger(docs, rules, id_col, text_col).write.parquet(path)
+    ledger(docs, rules, id_col, text_col, lang_col).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -161,7 +165,7 @@ def ablations(book: DataFrame, policies=POLICIES, rules=RULES) -> DataFrame:
     return book.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def keep_quality(docs: DataFrame, names=POLICIES[CURRENT], rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_quality(docs: DataFrame, names=POLICIES[CURRENT], rules=RULES, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """The rows of ``docs`` that the policy keeps, columns unchanged; bits are worked out in the same scan.
 
     Null and empty texts go if the policy has ``few_words``. Repeated rows stay or go together; an empty table gives none.
@@ -169,6 +173,6 @@ def keep_quality(docs: DataFrame, names=POLICIES[CURRENT], rules=RULES, id_col:
     """
     columns = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__doc"))
-    flat = packed.select("__doc", F.col(f"__doc.`{id_col}`").alias("__id"), F.col(f"__doc.`{text_col}`").alias("__body"))
-    book = ledger(flat.select(F.struct("__doc", "__id").alias("__key"), "__body"), rules, "__key", "__body")
+    flat = packed.select("__doc", F.col(f"__doc.`{id_col}`").alias("__id"), F.col(f"__doc.`{text_col}`").alias("__body"), F.col(f"__doc.`{lang_col}`" if lang_col else "__doc").alias("__lang"))
+    book = ledger(flat.select(F.struct("__doc", "__id").alias("__key"), "__body", "__lang"), rules, "__key", "__body", "__lang" if lang_col else None)
     return apply_policy(book, names, rules).filter("kept").select("__key.__doc.*").select(*[f"`{c}`" for c in columns])

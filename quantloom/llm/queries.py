@@ -82,7 +82,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger"))
+    book = quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger"), lang_col="lang")
     base = quality_rules.mask(quality_rules.BASE)
     return quality_rules.apply_policy(book, quality_rules.POLICIES[quality_rules.CURRENT]).select(
         "doc_id",
@@ -98,7 +98,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.ablations(quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger")))
+    return quality_rules.ablations(quality_rules.write_ledger(read(spark, sf_dir, "documents"), work_path(spark, "ledger"), lang_col="lang"))
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

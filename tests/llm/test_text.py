@@ -71,6 +71,16 @@ def test_policies_are_masks_over_the_ledger(docs, rows, no_docs):
     assert quality_rules.keep_quality(no_docs).count() == 0 and quality_rules.ledger(no_docs).count() == 0
 
 
+def test_stop_words_are_asked_of_languages_that_have_a_list_only(spark):
+    text = " ".join(f"palavra{k}" for k in range(60)) + "."
+    frame = spark.createDataFrame([(0, text, "en"), (1, text, "pt"), (2, text, None), (3, None, "pt")], "doc_id long, text string, lang string")
+    book = {r.doc_id: (r.n_stop_words, r.failed_bits) for r in quality_rules.ledger(frame, lang_col="lang").collect()}
+    stop, few = quality_rules.mask(["few_stop_words"]), quality_rules.mask(["few_words"])
+    assert book[0] == (0, stop) and book[1] == book[2] == (None, 0) and book[3][0] is None and book[3][1] & (stop | few) == few
+    assert sorted(r.doc_id for r in quality_rules.keep_quality(frame, lang_col="lang").collect()) == [1, 2]
+    assert quality_rules.keep_quality(frame).count() == 0
+
+
 def test_ablations_count_what_each_rule_costs(docs):
     book = quality_rules.ledger(docs)
     got = {(r.policy, r.without): r.n_kept for r in quality_rules.ablations(book).collect()}
