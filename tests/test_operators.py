@@ -224,6 +224,13 @@ def test_spread_statistics_reject_outliers_once(spark):
     assert r.pre_mean is None and r.pre_std is None and r.post_mean is None
 
 
+def test_spread_share_of_a_zero_price_is_that_of_floats(spark):
+    rows = [(day(1), "A", T(2024, 3, 1, 10, i), 0.0 if i == 3 else 10.0, 1.0, 1.0 if i == 3 else 1.1) for i in range(6)]
+    (r,) = ticks.bidask_spreads(frame(spark, rows, "date date, ticker string, window_start timestamp_ntz, last double, bid double, ask double")).collect()
+    assert np.isnan(r.day_mean_frac) and np.isnan(r.day_std_frac)  # as the SQL of q9_bidask_spreads has it
+    assert r.day_mean == pytest.approx(0.5 / 6)
+
+
 # ---- options
 
 def test_option_tickers(spark):
