@@ -31,6 +31,10 @@ WIDEST = 64
 DEALT_LINES = 1 << 15
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    return spark.read.option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+
+
 def deal_lines(spark: SparkSession, path, lines: int = DEALT_LINES) -> DataFrame:
     """(file, line) of text files, plain or gzip, dealt over tasks in blocks of ``lines`` consecutive lines of a file.
 
@@ -38,7 +42,7 @@ def deal_lines(spark: SparkSession, path, lines: int = DEALT_LINES) -> DataFrame
     come, holding one block of the codec, and everything after (fields, types, tickers, sorting) is spread by the bytes of the
     blocks, however few files there are. The file is read once.
     """
-    text = spark.read.option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    text = _lines(spark, path)
     block = F.struct("file", F.expr(f"monotonically_increasing_id() div {lines}"))
     return text.filter("line <> ''").withColumn("__block", F.xxhash64(block)).hint("rebalance", "__block").drop("__block")
 
@@ -61,22 +65,28 @@ def _csv(spark: SparkSession, path, schema: str, keys: tuple[str, ...], mixed: b
     names = [f"c{i}" for i in range(len(expected) + 1 if expected else WIDEST)]
     fields = ", ".join(f"{n} string" for n in names)
     if deal:
-        cells = deal_lines(spark, path).select("file", F.from_csv("line", fields, {"mode": "PERMISSIVE"}).alias("c"))
-        lines = cells.select("file", F.array(*[f"c.{n}" for n in names]).alias("cells"))
+        # as a generator, which no filter is pushed through: as a plain column each line is parsed anew for each of its cells
+        parsed = F.inline(F.array(F.from_csv("line", fields, {"mode": "PERMISSIVE"})))
+        cells_of = lambda text: text.select("file", "line", parsed).select("file", "line", F.array(*names).alias("cells"))
+        lines = cells_of(deal_lines(spark, path))
     else:
         cells = raw.option("header", False).schema(fields).csv(path)
         lines = cells.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("cells"))
     trimmed = F.transform("cells", lambda c: F.trim(c))
     is_head = F.array_contains(trimmed, keys[0])
+    if deal:  # few lines need a look at their cells
+        is_head = F.contains("line", F.lit(keys[0])) & is_head
     fails = lambda text: F.raise_error(F.concat(F.lit(text), "file")).cast("boolean")
     if expected:
         same = trimmed == F.array(*[F.lit(c) for c in expected], F.lit(None).cast("string"))
         rows = lines.filter(F.when(~F.coalesce(is_head, F.lit(False)), F.lit(True)).when(same, F.lit(False)).otherwise(fails("another header than in the first file: ")))
         pick = {n: F.col("cells")[expected.index(n)] if n in expected else F.lit(None).cast("string") for n, _ in columns}
     else:
-        # a row for each file, without a header too: nothing can be lost in the join
-        head = F.coalesce(F.first(F.when(is_head, trimmed), ignorenulls=True), F.array(F.lit("")))
-        rows = lines.filter(~F.coalesce(is_head, F.lit(False))).join(lines.groupBy("file").agg(head.alias("head")), "file")
+        # files with a header have a row here, and lines of the others meet none; a row for each file is small, and files
+        # may be few, so it is broadcast and no line is shuffled by its file
+        heads = cells_of(_lines(spark, path).filter(F.contains("line", F.lit(keys[0])))) if deal else lines
+        heads = heads.filter(is_head).groupBy("file").agg(F.first(trimmed).alias("head"))
+        rows = lines.filter(~F.coalesce(is_head, F.lit(False))).join(F.broadcast(heads), "file", "left").withColumn("head", F.coalesce("head", F.array(F.lit(""))))
         checked = F.col("cells")
         for key in keys:
             failing = F.raise_error(F.concat(F.lit(f"no column {key} in "), "file")).cast("array<string>")

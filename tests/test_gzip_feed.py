@@ -87,3 +87,20 @@ def test_quoted_fields_absent_columns_and_bad_files(spark, tmp_path):
         f.write("size,ticker,sip_timestamp\n7,O:A240216P00100000,1704205800000000005\n")
     got = readers.read_option_trades_csv(spark, str(path / "a*.gz"), mixed=True)
     assert Counter((r.underlying, r.price, r["size"]) for r in got.collect()) == Counter([("SPX", 1.5, 3), ("A", 2.5, 1), ("A", None, 7)])
+
+
+def test_each_line_is_parsed_once(spark, tmp_path):
+    """No filter repeats the parser, and none of its cells does; a file without the key's header still fails."""
+    (tmp_path / "a").mkdir()
+    for name, head in (("x", "ticker,size,sip_timestamp,price"), ("y", "price,ticker,venue,sip_timestamp,size")):
+        values = {"ticker": "O:SPX240216C00100000", "size": "3", "sip_timestamp": "1704205800000000000", "price": "1.5", "venue": '"a,b"'}
+        with gzip.open(tmp_path / "a" / f"{name}.csv.gz", "wt") as f:
+            f.write(head + "\n" + (",".join(values[c] for c in head.split(",")) + "\n") * 5)
+    got = readers.read_option_trades_csv(spark, str(tmp_path / "a"), mixed=True)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    parsed = [line for line in plan if "from_csv" in line]
+    assert parsed and all("Generate" in line for line in parsed)
+    assert {(r.underlying, r.size, r.price) for r in got.collect()} == {("SPX", 3, 1.5)} and got.count() == 10
+    (tmp_path / "a" / "z.csv").write_text("name,sip_timestamp\nO:SPX240216C00100000,1704205800000000000\n")
+    with pytest.raises(Exception, match="no column"):
+        readers.read_option_trades_csv(spark, str(tmp_path / "a"), mixed=True).collect()
