@@ -35,9 +35,9 @@ def _file(spark, df, what: str, absent=()):
 
 
 def _one_gzip(spark, df, what: str):
-    """All rows in one gzip file, as the large feeds come."""
+    """All rows in one gzip file, as the large feeds come; made by all tasks, only written by one."""
     path = shared_path(spark, what)
-    df.coalesce(1).write.option("header", True).option("compression", "gzip").csv(path)
+    df.repartition(1).write.option("header", True).option("compression", "gzip").csv(path)
     return path
 
 
