@@ -160,20 +160,28 @@ def a3(spark, sf):
     return adjust.adjust_combined(v.day_bars(spark, sf), v.splits(spark, sf), v.dividends(spark, sf))
 
 
+def _stored(spark, df, what):
+    """A view as a table that is made once and then read, as a stored feed is."""
+    path = shared_path(spark, what)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _late(spark, sf, zero_close):
-    """The interval table of events up to a date, then with the rest as late events."""
-    daily = dated(v.day_bars(spark, sf)).select("ticker", "date", "close")
-    splits, dividends = v.splits(spark, sf), v.dividends(spark, sf)
+    """(day bars, the interval table of events up to a date, then with the rest as late events)."""
+    bars = _stored(spark, v.day_bars(spark, sf), "day-bars")
+    daily = dated(bars).select("ticker", "date", "close")
+    splits, dividends = _stored(spark, v.splits(spark, sf), "splits"), _stored(spark, v.dividends(spark, sf), "dividends")
     early = F.lit("1995-06-01").cast("date")
     path = shared_path(spark, "factors")
     adjust.factor_intervals(daily, splits.filter(F.col("execution_date") < early), dividends.filter(F.col("ex_dividend_date") < early), zero_close).write.parquet(path)
     late = splits.filter(F.col("execution_date") >= early).select("ticker").union(dividends.filter(F.col("ex_dividend_date") >= early).select("ticker"))
-    return adjust.late_events(spark.read.parquet(path), daily, splits, dividends, late, zero_close)
+    return bars, adjust.late_events(spark.read.parquet(path), daily, splits, dividends, late, zero_close)
 
 
 @query("a1_late_events", with_views("v_day_bars", "v_splits", "v_dividends", more=_adjusted("one")) + f" FINAL SELECT d.*, {_ADJ} FROM d JOIN c USING (ticker, date)", dbl=(*BAR, *ADJ), txt=("date", "window_start"))
 def a1_late(spark, sf):
-    return adjust.adjust_by_intervals(v.day_bars(spark, sf), _late(spark, sf, "one"))
+    return adjust.adjust_by_intervals(*_late(spark, sf, "one"))
 
 
 @query(
@@ -183,7 +191,7 @@ def a1_late(spark, sf):
     dbl=(*BAR, *ADJ), txt=("date",), big=("adj_volume",),
 )
 def a3_late(spark, sf):
-    return adjust.adjust_by_intervals(v.day_bars(spark, sf), _late(spark, sf, "split_only"), "reference").drop("window_start")
+    return adjust.adjust_by_intervals(*_late(spark, sf, "split_only"), "reference").drop("window_start")
 
 
 _SESSION = {
