@@ -3,10 +3,12 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from quantloom.llm import jaccard_join, near_copies
+from quantloom.llm.simhash_dedup import majority
 from tests.llm.test_dedup import LAST, WORD
 
 
@@ -107,3 +109,33 @@ def test_a_large_group_of_copies_takes_pairs_in_proportion_to_its_size(spark, mo
     kept = near_copies.dedup_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(7))
     assert [r.doc_id for r in kept.collect()] == [0]
     assert sum(compared) <= 3 * len(rows)
+
+
+def test_links_hold_where_blocks_deal_the_texts_and_just_outside_a_group_no_sets_are_compared(spark, monkeypatch):
+    """600 edits of one text, a third of them too far from it to link, under blocks of 6 bits: components are those of all pairs."""
+    monkeypatch.setattr(near_copies, "SHARD", 10)
+    monkeypatch.setattr(near_copies, "FIRST_NODES", 50)
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(i, edited(r, base, (1, 2, 7)[i % 3])) for i in range(600)]
+    compared = []
+    links = jaccard_join._links
+    monkeypatch.setattr(jaccard_join, "_links", lambda pairs, sets: (compared.append(pairs.count()), links(pairs, sets))[1])
+    found = near_copies.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: r.component for r in found} == dict(enumerate(brute_groups([t for _, t in rows])))
+    assert sum(compared) <= 4 * len(rows)
+
+
+def test_shards_are_dealt_by_blocks_of_the_fingerprints():
+    """Of pairs at the limit of similarity all but a few share a block, and the first fingerprint is that of the SimHash operator."""
+    r = np.random.default_rng(4)
+    bits, blocks = near_copies.blocks_for(1 << 18)
+    assert near_copies.blocks_for(near_copies.SHARD) == (0, 1) and bits == 10 and blocks >= 32
+    apart = 0
+    for _ in range(300):
+        common, a, b = (near_copies.mixed(r.integers(0, 1 << 62, n, np.uint64)) for n in (240, 30, 30))
+        words = np.stack([near_copies.fingerprints(np.concatenate([common, own])) for own in (a, b)])
+        assert words[0, 0] == majority(np.concatenate([common, a]))
+        x, y = near_copies.block_keys(words, bits, blocks)
+        apart += not (x == y).any()
+    assert apart <= 3
