@@ -147,7 +147,8 @@ def a1(spark, sf):
 
 @query("a2_adjust_day_bars", with_views("v_day_bars", "v_splits", "v_dividends", more=_adjusted("split_only")) + f" FINAL SELECT d.*, {_ADJ} FROM d JOIN c USING (ticker, date)", dbl=(*BAR, *ADJ), txt=("date", "window_start"))
 def a2(spark, sf):
-    return adjust.adjust_day_bars(v.day_bars(spark, sf), v.splits(spark, sf), v.dividends(spark, sf))
+    bars = _stored(spark, v.day_bars(spark, sf), "day-bars")  # read twice
+    return adjust.adjust_day_bars(bars, v.splits(spark, sf), v.dividends(spark, sf))
 
 
 @query(

@@ -60,3 +60,11 @@ def test_entry_module_works_without_the_optional_operators(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_day_bars_are_aggregated_by_hash(spark):
+    """Lines aren't sorted for the first and last price of a day."""
+    from quantloom.plans import views
+
+    plan = views.day_bars(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
