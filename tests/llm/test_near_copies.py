@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from quantloom.llm import jaccard_join, near_copies
+from quantloom.llm import components, jaccard_join, near_copies
 from quantloom.llm.simhash_dedup import majority
 from tests.llm.test_dedup import LAST, WORD
 
@@ -139,3 +139,22 @@ def test_shards_are_dealt_by_blocks_of_the_fingerprints():
         x, y = near_copies.block_keys(words, bits, blocks)
         apart += not (x == y).any()
     assert apart <= 3
+
+
+def test_small_tables_are_in_few_tasks_however_many_partitions_a_shuffle_has(spark, monkeypatch):
+    """Every task writes files for each shuffle: with hundreds of partitions for some rows these took the disk."""
+    tasks = []
+    cut = components.cut
+    monkeypatch.setattr(components, "cut", lambda df: (done := cut(df), tasks.append(done.rdd.getNumPartitions()))[0])
+    asked = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in asked}
+    try:
+        for k, v in asked.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300) if i % 10 != 9], "u long, v long")
+        found = components.connected_components(edges).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.node: r.root for r in found} == {i: i // 10 * 10 for i in range(300)}
+    assert len(tasks) > 2 and max(tasks[1:]) <= 12
