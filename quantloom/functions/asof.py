@@ -53,12 +53,15 @@ def asof_join(
     both = given.withColumn("__side", F.lit(1)).unionByName(asking.withColumn("__side", F.when(F.col("__t").isNull(), 0).otherwise(2 if exact else 0)), allowMissingColumns=True)
     order = ["__t", "__side", "__o"]
     up = Window.partitionBy(*keys).orderBy(*order)
-    again = (F.col("__side") == 1) & (F.lag("__t").over(up) == F.col("__t")) & (F.lag("__side").over(up) == 1)
+    # the other way round; rows that ask stand behind those of their time here too
+    down = Window.partitionBy(*keys).orderBy(F.col("__t").desc(), "__side", F.col("__o").desc())
+    # of rows of one time the first in order counts: it stands first upwards and last downwards; a forward join sorts once, downwards
+    beside, way = (F.lead, down) if direction == "forward" else (F.lag, up)
+    again = (F.col("__side") == 1) & (beside("__t").over(way) == F.col("__t")) & (beside("__side").over(way) == 1)
     both = both.withColumn("__v", F.when(~F.coalesce(again, F.lit(False)), F.col("__v")))
     before = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # the other way round; rows that ask stand behind those of their time here too
-    after = Window.partitionBy(*keys).orderBy(F.col("__t").desc(), *([F.col("__side").asc()] if exact else [F.when(F.col("__side") == 1, 1).otherwise(0)])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = {}
     for i, c in enumerate(columns):
         at = F.when(F.col(f"__v.{c}").isNotNull(), F.struct("__t", F.col(f"__v.{c}").alias("v")))

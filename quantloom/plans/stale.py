@@ -65,17 +65,21 @@ class Step:
 def _with_factors(bars: str, volume_mode: str | None, zero_close: str):
     def build(t):
         # only the bars of action days are read for the factors, whatever is stale
-        intervals = adjust.factor_intervals(adjust.daily_closes(t["all_day_bars"]), t["splits"], t["dividends"], zero_close)
+        intervals = adjust.factor_intervals(t["all_day_bars"], t["splits"], t["dividends"], zero_close)
         return adjust.adjust_by_intervals(t[bars], intervals, volume_mode)
 
     return build
 
 
+def _with_own_events(t):
+    return adjust.adjust_with_events(t["day_bars"], t["other_day_bars"], t["splits"], t["dividends"], "split_only", "reference")
+
+
 def steps_of(market: Market, by: str = "date") -> list[Step]:
     """The derived tables of a market, each after those that it reads; ``by``: how the adjusted day bars are partitioned."""
     out = []
     if market.actions:
-        out.append(Step("adjusted_day_bars", _with_factors("day_bars", "reference", "split_only"), ("day_bars",), ("splits", "dividends"), "day_bars", by))
+        out.append(Step("adjusted_day_bars", _with_own_events, ("day_bars",), ("splits", "dividends"), "day_bars", by))
         out.append(Step("adjusted_minute_bars", _with_factors("minute_bars", None, "one"), ("minute_bars",), ("splits", "dividends"), "day_bars"))
     if market.top is not None:
         out.append(Step("matrix", lambda t: matrix.stocks_matrix(t["minute_bars"], market.top, market.indicators), ("minute_bars",)))
@@ -156,7 +160,9 @@ def refresh(spark: SparkSession, base: str, steps: Sequence[Step], targets: Sequ
         tables |= {n: spark.read.parquet(f"{base}/{n}").drop(step.by) for n in step.later}
         if step.closes:
             events = {d for n in step.later for d in stored.partition_values(spark, f"{base}/{n}", step.by)}
-            tables["all_day_bars"] = stored.read_values(spark, f"{base}/{step.closes}", sorted(events), step.by)
+            # where the closes' table is adjusted itself, its stale dates are read with the others only once
+            name = "other_day_bars" if step.closes in step.by_date else "all_day_bars"
+            tables[name] = stored.read_values(spark, f"{base}/{step.closes}", sorted(events - set(stale) if step.closes in step.by_date else events), step.by)
         before = stored.signatures(spark, path, step.by)
         sinks.write_table(step.build(tables), path, [step.by])
         after = stored.signatures(spark, path, step.by)

@@ -76,3 +76,9 @@ def test_shifted_takes_the_nearest_grid_time(spark, step, cases):
     rows = spark.createDataFrame([(f"2024-03-08 {a}", b) for a, b in cases], "a string, b string")
     got = rows.select(F.date_format(shifted(F.col("a").cast("timestamp_ntz"), step), "HH:mm:ss").alias("got"), "b").collect()
     assert [r.got for r in got] == [r.b for r in got]
+
+
+def test_a_forward_join_sorts_once(spark):
+    left, right = tables()
+    plan = asof_join(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT), ["k"], "at", "t", ["p", "q"], "forward", exact=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
